@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.schemas import MONTH_FILE_FORMAT
 
 
 def month_file_name(ts) -> Column:
-    """Landing file name of the calendar month of ``ts``: sales_YYYY_MM.csv."""
+    """Landing file name of the calendar month of ``ts``: sales_YYYY_MM.csv
+    (``MONTH_FILE_FORMAT``; built with concat/lpad, which is codegen'd)."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.format_string(MONTH_FILE_FORMAT, F.year(ts), F.month(ts))
+    return F.concat(
+        F.lit("sales_"), F.year(ts).cast("string"), F.lit("_"),
+        F.lpad(F.month(ts).cast("string"), 2, "0"), F.lit(".csv"),
+    )
 
 
 def base_name(path) -> Column:

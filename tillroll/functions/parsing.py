@@ -37,11 +37,28 @@ def canonical_customer_id(c) -> Column:
     return _col(c).try_cast("double").try_cast("bigint").cast("string")
 
 
+def _could_match(c: Column, fmt: str) -> Column:
+    """Cheap necessary condition for ``fmt`` to parse ``c``.
+
+    A pattern parse that fails costs an exception inside Spark; skipping text
+    that cannot match keeps the common path exception-free.  The test only
+    rules out text the layout can never accept, so results do not change:
+    a layout with '/' needs a '/', a layout without one cannot accept one,
+    and every layout here starts with a digit.
+    """
+    starts_with_digit = c.rlike("^[0-9]")
+    if "/" in fmt:
+        return starts_with_digit & c.contains("/")
+    return starts_with_digit & ~c.contains("/")
+
+
 def parse_invoice_timestamp(c) -> Column:
     """First layout of ``TIMESTAMP_LAYOUTS`` that parses, else NULL."""
     c = _col(c)
     attempts = [
-        F.try_to_timestamp(c) if fmt is None else F.try_to_timestamp(c, F.lit(fmt))
+        F.try_to_timestamp(c)
+        if fmt is None
+        else F.when(_could_match(c, fmt), F.try_to_timestamp(c, F.lit(fmt)))
         for fmt in TIMESTAMP_LAYOUTS
     ]
     return F.coalesce(*attempts)

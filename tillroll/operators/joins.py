@@ -11,12 +11,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+_CHECKED: dict = {}
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, memo_key=None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the answer is no.
+    the answer is no.  ``memo_key`` names an immutable input (e.g. a read-only
+    dimension file) whose answer may be reused within the session.
     """
+    if memo_key is not None:
+        key = (id(df.sparkSession), max_rows, memo_key)
+        if key not in _CHECKED:
+            _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+        return _CHECKED[key]
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -26,7 +35,8 @@ def join_small(
     on,
     how: str = "inner",
     max_rows: int = BROADCAST_MAX_ROWS,
+    memo_key=None,
 ) -> DataFrame:
     """``left.join(right)`` broadcasting ``right`` only after a size check."""
-    side = F.broadcast(right) if is_small(right, max_rows) else right
+    side = F.broadcast(right) if is_small(right, max_rows, memo_key) else right
     return left.join(side, on, how)

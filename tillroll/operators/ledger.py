@@ -28,10 +28,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def ensure_ledger(spark: SparkSession, path: str) -> None:
     """Create an empty ledger if there is none (CREATE TABLE IF NOT EXISTS)."""
-    try:
-        spark.read.schema(LEDGER_SCHEMA).parquet(path).limit(0).collect()
-    except AnalysisException:
-        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(path)
+    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(path)
 
 
 def record(names: DataFrame, path: str, name_col: str = "source_file") -> None:

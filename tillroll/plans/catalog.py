@@ -330,7 +330,7 @@ def q_stream_silver(spark, sf_dir):
 
 def q_stream_weekly(spark, sf_dir):
     layout = _streamed(spark, sf_dir, "weekly")
-    return pipeline.read_gold(spark, layout)["weekly_revenue"]
+    return spark.read.schema(pipeline.GOLD_DDL["weekly_revenue"]).parquet(layout.gold_table("weekly_revenue"))
 
 
 QUERIES: dict[str, Query] = {

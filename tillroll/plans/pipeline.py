@@ -79,6 +79,22 @@ class Layout:
         return f"{self.gold}/{GOLD_TABLE_NAMES[key]}"
 
 
+def init_layout(spark: SparkSession, layout: Layout) -> None:
+    """Create empty bronze, silver and ledger tables where there are none
+    (``mode('ignore')`` = CREATE TABLE IF NOT EXISTS)."""
+    empty_layers = (
+        (layers.BRONZE_SCHEMA, layout.bronze, True),
+        (layers.SILVER_SCHEMA, layout.silver, True),
+        (ledger.LEDGER_SCHEMA, layout.bronze_ledger, False),
+        (ledger.LEDGER_SCHEMA, layout.silver_ledger, False),
+    )
+    for schema, path, partitioned in empty_layers:
+        writer = spark.createDataFrame([], schema).write.mode("ignore")
+        if partitioned:
+            writer = writer.partitionBy(SOURCE_FILE)
+        writer.parquet(path)
+
+
 def _names(df: DataFrame, col: str, limit: int) -> list[str]:
     """The first ``limit`` names (sorted) of a small metadata DataFrame."""
     return [r[0] for r in df.select(col).orderBy(col).limit(limit).collect()]
@@ -93,6 +109,7 @@ def new_landing_files(spark: SparkSession, layout: Layout) -> DataFrame:
 def ingest_bronze(spark: SparkSession, layout: Layout, max_files: int = MAX_FILES_PER_ROUND) -> dict:
     """Append every new landing file to bronze, then record it in the ledger."""
     configure(spark)
+    init_layout(spark, layout)
     totals = {"files": 0, "rows": 0, "corrupt_rows": 0}
     while True:
         names = _names(new_landing_files(spark, layout), "source_file", max_files)
@@ -134,6 +151,7 @@ def incremental_bronze(spark: SparkSession, layout: Layout, names: list[str]) ->
 def transform_silver(spark: SparkSession, layout: Layout, max_files: int = MAX_FILES_PER_ROUND) -> dict:
     """Clean the bronze rows of files silver has not seen yet."""
     configure(spark)
+    init_layout(spark, layout)
     totals = {"files": 0, "rows_in": 0, "rows_out": 0}
     while True:
         names = _names(unprocessed_bronze_files(spark, layout), "source_file", max_files)
@@ -158,6 +176,7 @@ def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K) -> None:
     lineage, and each published table then reads only its own partition.
     """
     configure(spark)
+    init_layout(spark, layout)
     totals_path = f"{layout.gold}/_totals"
     gold.totals(layers.read_silver(spark, layout.silver)).write.mode("overwrite").partitionBy(
         "grain"
@@ -187,6 +206,7 @@ def preview(spark: SparkSession, layout: Layout) -> DataFrame:
     the run.  One scan of the new files and of the current silver.
     """
     configure(spark)
+    init_layout(spark, layout)
     new = new_landing_files(spark, layout)
     names = [r[0] for r in new.select("source_file").orderBy("source_file").collect()]
     if names:

@@ -15,6 +15,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Partitioned writes use REBALANCE; let AQE split hot partitions.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # No broadcast from static size estimates: a join side is broadcast only
+    # when AQE has measured its shuffle output (or after an explicit size
+    # check, see operators.joins).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
@@ -34,6 +39,7 @@ def local_session(app: str = "tillroll", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in SESSION_CONF.items():

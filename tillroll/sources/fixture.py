@@ -13,10 +13,9 @@ nation dimension is broadcast only after a size check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.naming import month_file_name
 from tillroll.operators.joins import join_small
 from tillroll.schemas import RAW_COLUMNS, SOURCE_FILE
 from tillroll.sources.tables import table
@@ -39,8 +38,45 @@ COUNTRY_PADDING = "  "          # appended to every country name
 # -----------------------------------------------------------------------------
 
 
-def _when_mod(c: Column, m: int) -> Column:
-    return c % F.lit(m) == 0
+# Landing file of the order month (same value as naming.month_file_name).
+MONTH_FILE_SQL = (
+    "concat('sales_', CAST(year(o_orderdate) AS STRING), '_', "
+    "lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '.csv')"
+)
+
+
+def _raw_expressions() -> list[str]:
+    """SQL expressions of the 8 raw columns (one ``selectExpr`` call)."""
+    codes = ", ".join(f"'{c}'" for c in NON_PRODUCT_CODES)
+    n_codes = len(NON_PRODUCT_CODES)
+    number = (
+        f"CASE WHEN l_returnflag = 'R' AND l_linenumber = {CANCEL_LINE} "
+        "THEN concat('C', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END"
+    )
+    qty = "CAST(l_quantity AS INT)"
+    return [
+        f"""CASE WHEN l_orderkey % {NULL_INVOICE_MOD} = 0 THEN CAST(NULL AS STRING)
+                 WHEN l_orderkey % {PADDED_INVOICE_MOD} = 0 THEN concat(' ', {number}, ' ')
+                 ELSE {number} END AS InvoiceNo""",
+        f"""CASE WHEN l_suppkey = {NULL_STOCK_SUPPKEY} THEN CAST(NULL AS STRING)
+                 WHEN l_partkey % {NON_PRODUCT_MOD} = 0
+                   THEN element_at(array({codes}), CAST(l_partkey % {n_codes} AS INT) + 1)
+                 ELSE concat('P', CAST(l_partkey AS STRING)) END AS StockCode""",
+        f"""CASE WHEN l_partkey % {NULL_DESCRIPTION_MOD} = 0 THEN CAST(NULL AS STRING)
+                 ELSE p_name END AS Description""",
+        f"""CASE WHEN l_orderkey % {BAD_QUANTITY_MOD} = 0 THEN 'n/a'
+                 WHEN l_returnflag = 'R' AND l_linenumber = {NEGATIVE_QUANTITY_LINE}
+                   THEN CAST(-{qty} AS STRING)
+                 ELSE CAST({qty} AS STRING) END AS Quantity""",
+        f"""CASE WHEN l_orderkey % {BAD_DATE_MOD} = 0 THEN 'unknown'
+                 WHEN l_orderkey % {SLASH_DATE_MOD} = 0 THEN date_format(o_orderdate, 'M/d/yyyy H:mm')
+                 ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END AS InvoiceDate""",
+        f"""CASE WHEN l_partkey % {ZERO_PRICE_MOD} = 0 THEN '0.00'
+                 ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS UnitPrice""",
+        f"""CASE WHEN o_custkey % {NULL_CUSTOMER_MOD} = 0 THEN CAST(NULL AS STRING)
+                 ELSE concat(CAST(o_custkey AS STRING), '.0') END AS CustomerID""",
+        f"concat(n_name, '{COUNTRY_PADDING}') AS Country",
+    ]
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +91,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
     customer_country = join_small(
-        customer, nation, customer.c_nationkey == nation.n_nationkey
+        customer, nation, customer.c_nationkey == nation.n_nationkey, memo_key=("nation", sf_dir)
     ).select("c_custkey", "n_name")
     order_info = orders.join(
         customer_country, orders.o_custkey == customer_country.c_custkey
@@ -63,58 +99,4 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lineitem.join(order_info, lineitem.l_orderkey == order_info.o_orderkey).join(
         part, lineitem.l_partkey == part.p_partkey
     )
-    return lines.select(*_raw_columns(), month_file_name("o_orderdate").alias(SOURCE_FILE))
-
-
-def _raw_columns() -> list[Column]:
-    okey, pkey = F.col("l_orderkey"), F.col("l_partkey")
-    returned = F.col("l_returnflag") == "R"
-    line = F.col("l_linenumber")
-
-    number = okey.cast("string")
-    number = F.when(returned & (line == CANCEL_LINE), F.concat(F.lit("C"), number)).otherwise(number)
-    invoice = (
-        F.when(_when_mod(okey, NULL_INVOICE_MOD), F.lit(None).cast("string"))
-        .when(_when_mod(okey, PADDED_INVOICE_MOD), F.concat(F.lit(" "), number, F.lit(" ")))
-        .otherwise(number)
-    )
-
-    codes = F.array(*[F.lit(c) for c in NON_PRODUCT_CODES])
-    stock = (
-        F.when(F.col("l_suppkey") == NULL_STOCK_SUPPKEY, F.lit(None).cast("string"))
-        .when(_when_mod(pkey, NON_PRODUCT_MOD),
-              F.element_at(codes, (pkey % len(NON_PRODUCT_CODES) + 1).cast("int")))
-        .otherwise(F.concat(F.lit("P"), pkey.cast("string")))
-    )
-
-    description = F.when(_when_mod(pkey, NULL_DESCRIPTION_MOD), F.lit(None).cast("string")).otherwise(
-        F.col("p_name")
-    )
-
-    qty = F.col("l_quantity").cast("int")
-    quantity = (
-        F.when(_when_mod(okey, BAD_QUANTITY_MOD), F.lit("n/a"))
-        .when(returned & (line == NEGATIVE_QUANTITY_LINE), (-qty).cast("string"))
-        .otherwise(qty.cast("string"))
-    )
-
-    odate = F.col("o_orderdate")
-    invoice_date = (
-        F.when(_when_mod(okey, BAD_DATE_MOD), F.lit("unknown"))
-        .when(_when_mod(okey, SLASH_DATE_MOD), F.date_format(odate, "M/d/yyyy H:mm"))
-        .otherwise(F.date_format(odate, "yyyy-MM-dd HH:mm:ss"))
-    )
-
-    price = F.when(_when_mod(pkey, ZERO_PRICE_MOD), F.lit("0.00")).otherwise(
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
-    )
-
-    custkey = F.col("o_custkey")
-    customer_id = F.when(_when_mod(custkey, NULL_CUSTOMER_MOD), F.lit(None).cast("string")).otherwise(
-        F.concat(custkey.cast("string"), F.lit(".0"))
-    )
-
-    country = F.concat(F.col("n_name"), F.lit(COUNTRY_PADDING))
-
-    values = [invoice, stock, description, quantity, invoice_date, price, customer_id, country]
-    return [v.alias(name) for v, name in zip(values, RAW_COLUMNS)]
+    return lines.selectExpr(*_raw_expressions(), f"{MONTH_FILE_SQL} AS {SOURCE_FILE}")

@@ -10,7 +10,18 @@ TABLES = (
 ).split()
 
 
+_OPENED: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The supplied table ``name``.  The files are read-only, so the opened
+    DataFrame (file listing and footer schema) is reused within a session."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    hit = _OPENED.get(key)
+    if hit is None or hit.sparkSession is not spark:
+        hit = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _OPENED[key] = hit
+    return hit
+
