@@ -58,9 +58,17 @@ def list_files(spark: SparkSession, landing_root: str, pattern: str = LANDING_PA
     try:
         files = spark.read.format("binaryFile").load(landing_glob(landing_root, pattern))
     except AnalysisException as err:
-        if _missing(err):
-            return spark.createDataFrame([], LISTING_COLUMNS)
-        raise
+        if not _missing(err):
+            raise
+        # No entry matches: fine for an existing (empty) landing folder, an
+        # error when the folder itself is missing.
+        try:
+            spark.read.format("binaryFile").load(landing_root)
+        except AnalysisException as root_err:
+            if _missing(root_err):
+                raise FileNotFoundError(f"Missing landing folder: {landing_root}") from root_err
+            raise
+        return spark.createDataFrame([], LISTING_COLUMNS)
     return files.select(
         landing_label("path").alias("source_file"), "path", "length", "modificationTime"
     )
