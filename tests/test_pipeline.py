@@ -59,7 +59,7 @@ def test_incremental_equals_all_at_once_and_rerun_is_noop(spark, workdir):
 def test_crash_between_data_and_ledger_then_retry(spark, workdir, monkeypatch):
     layout = Layout(f"{workdir}/crash")
     landing.write_csv(sales_lines(spark, SF), layout.landing)
-    real_record = ledger.record
+    real_record = ledger.record_names
     calls = {"n": 0}
 
     def failing_record(*args, **kwargs):
@@ -68,13 +68,13 @@ def test_crash_between_data_and_ledger_then_retry(spark, workdir, monkeypatch):
             raise RuntimeError("driver lost before the ledger write")
         return real_record(*args, **kwargs)
 
-    monkeypatch.setattr(ledger, "record", failing_record)
+    monkeypatch.setattr(ledger, "record_names", failing_record)
     with pytest.raises(RuntimeError):
         pipeline.ingest_bronze(spark, layout)
     assert layers.read_bronze(spark, layout.bronze).count() > 0  # data written
     assert ledger.read_ledger(spark, layout.bronze_ledger).count() == 0  # ledger not
     pipeline.ingest_bronze(spark, layout)  # retry
-    monkeypatch.setattr(ledger, "record", real_record)
+    monkeypatch.setattr(ledger, "record_names", real_record)
     assert layers.read_bronze(spark, layout.bronze).count() == sales_lines(spark, SF).count()
 
 
@@ -141,3 +141,15 @@ def test_date_gate_counts(spark):
     df = spark.createDataFrame([row(), row(InvoiceDate="x"), row(InvoiceDate=None)], RAW_SCHEMA)
     r = pipeline.date_gate(df).first()
     assert (r.rows, r.bad_dates) == (3, 2)
+
+
+def test_new_rows_exact_beyond_the_literal_bound(spark, workdir):
+    layout = Layout(f"{workdir}/bound")
+    landing.write_csv(sales_lines(spark, SF), layout.landing)
+    few = pipeline.new_landing_rows(spark, layout).count()
+    many = pipeline.new_landing_rows(spark, layout, max_names=3).count()  # semi-join path
+    assert few == many == 6000
+    pipeline.ingest_bronze(spark, layout)
+    a = pipeline.unprocessed_bronze_rows(spark, layout).count()
+    b = pipeline.unprocessed_bronze_rows(spark, layout, max_names=3).count()
+    assert a == b == 6000

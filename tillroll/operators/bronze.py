@@ -83,3 +83,21 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, SILVER_SCHEMA).select(*SILVER_COLUMNS)
+
+
+def partitions(spark: SparkSession, path: str) -> DataFrame:
+    """Source-file partitions present under a layer (``source_file``).
+
+    Answered from the file listing alone (``binaryFile`` with the content
+    pruned; partition discovery supplies ``_source_file``): the cost grows
+    with the number of files, never with the number of rows, and no data
+    file is opened.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+    )
+    if SOURCE_FILE not in files.columns:  # nothing written yet
+        return spark.createDataFrame([], "source_file string")
+    return files.select(F.col(SOURCE_FILE).cast("string").alias("source_file")).distinct()

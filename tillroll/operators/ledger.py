@@ -43,6 +43,16 @@ def record(names: DataFrame, path: str, name_col: str = "source_file") -> None:
     )
 
 
+def record_names(spark: SparkSession, names: list[str], path: str) -> None:
+    """Append a (small, distinct) list of names taken from the metadata."""
+    (
+        spark.createDataFrame([(n,) for n in names], "source_file string")
+        .withColumn("processed_at", F.current_timestamp())
+        .write.mode("append")
+        .parquet(path)
+    )
+
+
 def unprocessed(candidates: DataFrame, ledger: DataFrame, name_col: str = "source_file") -> DataFrame:
     """Candidates whose name is not in the ledger (left anti join).
 

@@ -255,14 +255,12 @@ def q_new_files(spark, sf_dir):
 
 def q_incremental_bronze(spark, sf_dir):
     layout = arrival_scenario(spark, sf_dir, "second_in_bronze")
-    names = pipeline._names(pipeline.unprocessed_bronze_files(spark, layout), "source_file", 10**6)
-    return _raw_out(pipeline.incremental_bronze(spark, layout, names))
+    return _raw_out(pipeline.unprocessed_bronze_rows(spark, layout))
 
 
 def q_bronze_source_files(spark, sf_dir):
     layout = arrival_scenario(spark, sf_dir)
-    b = layers.read_bronze(spark, layout.bronze)
-    return b.select(F.col(SOURCE_FILE).alias("source_file")).distinct().orderBy("source_file")
+    return layers.partitions(spark, layout.bronze).orderBy("source_file")
 
 
 def q_ledger_state(spark, sf_dir):

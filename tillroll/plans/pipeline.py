@@ -17,6 +17,7 @@ from tillroll.functions.naming import month_file_name
 from tillroll.functions.parsing import parse_invoice_timestamp
 from tillroll.operators import bronze as layers
 from tillroll.operators import gold, ledger, silver
+from tillroll.operators.joins import is_small, join_small
 from tillroll.plans.serving import GOLD_TABLE_NAMES
 from tillroll.schemas import (
     CORRUPT_COLUMN,
@@ -123,7 +124,7 @@ def ingest_bronze(spark: SparkSession, layout: Layout, max_files: int = MAX_FILE
             F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"),
         )
         layers.write_layer(out, layout.bronze)
-        ledger.record(spark.createDataFrame([(n,) for n in names], "source_file string"), layout.bronze_ledger)
+        ledger.record_names(spark, names, layout.bronze_ledger)
         metrics = obs.get
         totals["files"] += len(names)
         totals["rows"] += metrics["rows"]
@@ -133,13 +134,13 @@ def ingest_bronze(spark: SparkSession, layout: Layout, max_files: int = MAX_FILE
 
 
 def unprocessed_bronze_files(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Source files present in bronze rows but not in the silver ledger.
+    """Source files with rows in bronze that are not in the silver ledger.
 
-    Only the partition column is read, so the scan touches file footers only.
+    Bronze's partitions come from its file listing (no data read); an empty
+    landing file has no partition and so never reaches silver, as in the
+    reference.
     """
-    present = layers.read_bronze(spark, layout.bronze).select(
-        F.col(SOURCE_FILE).alias("source_file")
-    ).distinct()
+    present = layers.partitions(spark, layout.bronze)
     return ledger.unprocessed(present, ledger.read_ledger(spark, layout.silver_ledger))
 
 
@@ -148,6 +149,36 @@ def incremental_bronze(spark: SparkSession, layout: Layout, names: list[str]) ->
     return layers.read_bronze(spark, layout.bronze).where(F.col(SOURCE_FILE).isin(names))
 
 
+def unprocessed_bronze_rows(spark: SparkSession, layout: Layout, max_names: int = MAX_FILES_PER_ROUND) -> DataFrame:
+    """All bronze rows silver has not seen yet.
+
+    Up to ``max_names`` files: a literal list, so only their partitions are
+    listed and read.  Beyond: a semi join with the file set (exact; the file
+    set is broadcast only if its size check passes).
+    """
+    files = unprocessed_bronze_files(spark, layout)
+    if is_small(files, max_names):
+        return incremental_bronze(spark, layout, _names(files, "source_file", max_names))
+    bronze = layers.read_bronze(spark, layout.bronze)
+    return join_small(bronze, files.withColumnRenamed("source_file", SOURCE_FILE), SOURCE_FILE, "left_semi")
+
+
+def new_landing_rows(spark: SparkSession, layout: Layout, max_names: int = MAX_FILES_PER_ROUND) -> DataFrame:
+    """Raw rows of every landing entry not yet in the bronze ledger.
+
+    Up to ``max_names`` entries only their files are read; beyond, the whole
+    landing glob is read and semi-joined with the new entries (exact).
+    """
+    new = new_landing_files(spark, layout).select("source_file")
+    if is_small(new, max_names):
+        names = _names(new, "source_file", max_names)
+        if not names:
+            return landing.read_csv(spark, landing.landing_glob(layout.landing)).limit(0)
+        return landing.read_csv(spark, [landing.entry_path(layout.landing, n) for n in names])
+    rows = landing.read_csv(spark, landing.landing_glob(layout.landing))
+    return join_small(rows, new.withColumnRenamed("source_file", SOURCE_FILE), SOURCE_FILE, "left_semi")
+
+
 def transform_silver(spark: SparkSession, layout: Layout, max_files: int = MAX_FILES_PER_ROUND) -> dict:
     """Clean the bronze rows of files silver has not seen yet."""
     configure(spark)
@@ -161,7 +192,7 @@ def transform_silver(spark: SparkSession, layout: Layout, max_files: int = MAX_F
         rows = incremental_bronze(spark, layout, names).observe(obs_in, F.count(F.lit(1)).alias("rows"))
         out = silver.clean(rows).observe(obs_out, F.count(F.lit(1)).alias("rows"))
         layers.write_layer(out, layout.silver)
-        ledger.record(spark.createDataFrame([(n,) for n in names], "source_file string"), layout.silver_ledger)
+        ledger.record_names(spark, names, layout.silver_ledger)
         totals["files"] += len(names)
         totals["rows_in"] += obs_in.get["rows"]
         totals["rows_out"] += obs_out.get["rows"]
@@ -207,15 +238,8 @@ def preview(spark: SparkSession, layout: Layout) -> DataFrame:
     """
     configure(spark)
     init_layout(spark, layout)
-    new = new_landing_files(spark, layout)
-    names = [r[0] for r in new.select("source_file").orderBy("source_file").collect()]
-    if names:
-        raw = landing.read_csv(spark, [landing.entry_path(layout.landing, n) for n in names])
-        checked = silver.with_reject_reason(layers.to_bronze(raw))
-    else:
-        checked = silver.with_reject_reason(
-            layers.read_bronze(spark, layout.bronze).limit(0)
-        )
+    new_files = new_landing_files(spark, layout).agg(F.count(F.lit(1)).alias("new_files"))
+    checked = silver.with_reject_reason(layers.to_bronze(new_landing_rows(spark, layout)))
     new_counts = checked.agg(
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(F.col("reject_reason").isNull()).alias("silver_rows"),
@@ -233,8 +257,7 @@ def preview(spark: SparkSession, layout: Layout) -> DataFrame:
         F.least(F.lit(TOP_K), F.count_distinct("CustomerID")).cast("bigint").alias("top_customers_rows"),
         F.count_distinct(F.coalesce("Country", F.lit("\u0000"))).alias("country_rows"),
     )
-    files = spark.range(1).select(F.lit(len(names)).cast("bigint").alias("new_files"))
-    parts = [files, new_counts, gold_counts]
+    parts = [new_files, new_counts, gold_counts]
     long = [p.unpivot([], p.columns, "metric", "value") for p in parts]
     return long[0].unionByName(long[1]).unionByName(long[2])
 
