@@ -153,3 +153,15 @@ def test_new_rows_exact_beyond_the_literal_bound(spark, workdir):
     a = pipeline.unprocessed_bronze_rows(spark, layout).count()
     b = pipeline.unprocessed_bronze_rows(spark, layout, max_names=3).count()
     assert a == b == 6000
+
+
+def test_views_by_published_name(spark, workdir):
+    layout = Layout(f"{workdir}/views")
+    landing.write_csv(sales_lines(spark, SF), layout.landing)
+    pipeline.run_increment(spark, layout)
+    names = pipeline.register_views(spark, layout, prefix="t_")
+    assert len(names) == 8
+    n = spark.sql("SELECT COUNT(*) AS n FROM t_silver_online_retail").first().n
+    assert n == 4650
+    weeks = spark.sql("SELECT WeekStartDate FROM t_gold_weekly_revenue ORDER BY WeekStartDate").count()
+    assert weeks == 341

@@ -20,7 +20,7 @@ from tillroll.operators import gold, ledger, silver
 from tillroll.plans import pipeline
 from tillroll.plans.oracle import FIRST_BATCH_LAST_FILE
 from tillroll.plans.pipeline import Layout
-from tillroll.plans.serving import serve
+from tillroll.plans.serving import serve, table_counts
 from tillroll.schemas import CORRUPT_COLUMN, NON_PRODUCT_STOCK_CODES, RAW_COLUMNS, SOURCE_FILE, TOP_K
 from tillroll.session import configure, fresh_dir, shared_root
 from tillroll.sources import landing
@@ -229,8 +229,12 @@ def q_landing_files(spark, sf_dir):
 
 
 def q_monthly_split(spark, sf_dir):
+    """The full history (every date readable) split by the month of its
+    InvoiceDate through the gated split job, then read back per file."""
+    configure(spark)
     root = fresh_dir(spark, "archive")
-    landing.write_csv(sales_lines(spark, sf_dir), root)
+    history = sales_lines(spark, sf_dir, bad_dates=False).drop(SOURCE_FILE)
+    pipeline.split_monthly(spark, history, root)
     rows = landing.read_csv(spark, landing.landing_glob(root))
     return rows.groupBy(F.col(SOURCE_FILE).alias("source_file")).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -296,6 +300,13 @@ def q_run_increment(spark, sf_dir):
     return gold.long_form(pipeline.read_gold(spark, layout))
 
 
+def q_table_counts(spark, sf_dir):
+    """Row counts of all eight tables after a full run, by SQL."""
+    layout = _landed_layout(spark, sf_dir)
+    pipeline.run_increment(spark, layout)
+    return table_counts(spark, pipeline.published_tables(spark, layout))
+
+
 def q_preview(spark, sf_dir):
     layout = _landed_layout(spark, sf_dir)
     return pipeline.preview(spark, layout)
@@ -361,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "gold_all": q_gold_all,
     "run_increment": q_run_increment,
     "preview": q_preview,
+    "table_counts": q_table_counts,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_weekly": q_stream_weekly,

@@ -207,6 +207,15 @@ ORACLE_SQL = {
         UNION ALL SELECT 'bronze_rows', CAST(count(*) AS BIGINT) FROM raw
         UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM silver
         UNION ALL """ + _GOLD_COUNTS),
+    "table_counts": _q("""
+        SELECT 'bronze_online_retail' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM raw
+        UNION ALL SELECT 'silver_online_retail', CAST(count(*) AS BIGINT) FROM silver
+        UNION ALL SELECT 'bronze_processed_files', CAST(count(*) AS BIGINT) FROM months
+        UNION ALL SELECT 'silver_processed_files', CAST(count(*) AS BIGINT) FROM months
+        UNION ALL SELECT 'gold_weekly_revenue', CAST(count(*) AS BIGINT) FROM weekly
+        UNION ALL SELECT 'gold_top_5_products_by_revenue', CAST(count(*) AS BIGINT) FROM top_products
+        UNION ALL SELECT 'gold_top_5_customers_by_revenue', CAST(count(*) AS BIGINT) FROM top_customers
+        UNION ALL SELECT 'gold_revenue_by_country', CAST(count(*) AS BIGINT) FROM countries"""),
     "stream_bronze": _q(_RAW_OUT),
     "stream_silver": _q(_SILVER_OUT),
     "stream_weekly": _q("SELECT * FROM weekly"),

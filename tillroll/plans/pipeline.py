@@ -282,3 +282,26 @@ def split_monthly(spark: SparkSession, history: DataFrame, landing_root: str) ->
     labelled = history.withColumn(SOURCE_FILE, month_file_name(parse_invoice_timestamp("InvoiceDate")))
     landing.write_csv(labelled, landing_root)
     return gate["rows"]
+
+
+def published_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """All eight tables of a pipeline under their published names."""
+    tables = {
+        "bronze_online_retail": layers.read_bronze(spark, layout.bronze),
+        "silver_online_retail": layers.read_silver(spark, layout.silver),
+        "bronze_processed_files": ledger.read_ledger(spark, layout.bronze_ledger),
+        "silver_processed_files": ledger.read_ledger(spark, layout.silver_ledger),
+    }
+    for key, df in read_gold(spark, layout).items():
+        tables[GOLD_TABLE_NAMES[key]] = df
+    return tables
+
+
+def register_views(spark: SparkSession, layout: Layout, prefix: str = "") -> list[str]:
+    """Register the eight tables as temporary views (``prefix`` + name) so
+    that dashboard SQL can address them by name.  Returns the view names."""
+    names = []
+    for name, df in published_tables(spark, layout).items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -45,3 +45,22 @@ def serve(spark: SparkSession, which: str, gold: dict[str, DataFrame]) -> DataFr
     """Run the serving query ``which`` against gold tables given by key."""
     params = {GOLD_TABLE_NAMES[k]: df for k, df in gold.items() if GOLD_TABLE_NAMES[k] in SERVING_SQL[which]}
     return spark.sql(SERVING_SQL[which], **params)
+
+
+# Row-count checks over every pipeline table (the manual checks run after
+# each increment).
+TABLE_COUNTS_SQL = """
+    SELECT 'bronze_online_retail' AS table_name, COUNT(*) AS rows FROM {bronze_online_retail}
+    UNION ALL SELECT 'silver_online_retail', COUNT(*) FROM {silver_online_retail}
+    UNION ALL SELECT 'bronze_processed_files', COUNT(*) FROM {bronze_processed_files}
+    UNION ALL SELECT 'silver_processed_files', COUNT(*) FROM {silver_processed_files}
+    UNION ALL SELECT 'gold_weekly_revenue', COUNT(*) FROM {gold_weekly_revenue}
+    UNION ALL SELECT 'gold_top_5_products_by_revenue', COUNT(*) FROM {gold_top_5_products_by_revenue}
+    UNION ALL SELECT 'gold_top_5_customers_by_revenue', COUNT(*) FROM {gold_top_5_customers_by_revenue}
+    UNION ALL SELECT 'gold_revenue_by_country', COUNT(*) FROM {gold_revenue_by_country}
+"""
+
+
+def table_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """``TABLE_COUNTS_SQL`` over DataFrames keyed by published table name."""
+    return spark.sql(TABLE_COUNTS_SQL, **tables)

@@ -45,7 +45,7 @@ MONTH_FILE_SQL = (
 )
 
 
-def _raw_expressions() -> list[str]:
+def _raw_expressions(bad_dates: bool = True) -> list[str]:
     """SQL expressions of the 8 raw columns (one ``selectExpr`` call)."""
     codes = ", ".join(f"'{c}'" for c in NON_PRODUCT_CODES)
     n_codes = len(NON_PRODUCT_CODES)
@@ -68,7 +68,7 @@ def _raw_expressions() -> list[str]:
                  WHEN l_returnflag = 'R' AND l_linenumber = {NEGATIVE_QUANTITY_LINE}
                    THEN CAST(-{qty} AS STRING)
                  ELSE CAST({qty} AS STRING) END AS Quantity""",
-        f"""CASE WHEN l_orderkey % {BAD_DATE_MOD} = 0 THEN 'unknown'
+        f"""CASE WHEN {'true' if bad_dates else 'false'} AND l_orderkey % {BAD_DATE_MOD} = 0 THEN 'unknown'
                  WHEN l_orderkey % {SLASH_DATE_MOD} = 0 THEN date_format(o_orderdate, 'M/d/yyyy H:mm')
                  ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END AS InvoiceDate""",
         f"""CASE WHEN l_partkey % {ZERO_PRICE_MOD} = 0 THEN '0.00'
@@ -79,8 +79,12 @@ def _raw_expressions() -> list[str]:
     ]
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw landing rows: the 8 text columns plus ``_source_file``."""
+def sales_lines(spark: SparkSession, sf_dir: str, bad_dates: bool = True) -> DataFrame:
+    """Raw landing rows: the 8 text columns plus ``_source_file``.
+
+    ``bad_dates=False`` leaves every InvoiceDate readable: the full sales
+    history the monthly split starts from (its date gate refuses otherwise).
+    """
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_returnflag",
@@ -99,4 +103,4 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lineitem.join(order_info, lineitem.l_orderkey == order_info.o_orderkey).join(
         part, lineitem.l_partkey == part.p_partkey
     )
-    return lines.selectExpr(*_raw_expressions(), f"{MONTH_FILE_SQL} AS {SOURCE_FILE}")
+    return lines.selectExpr(*_raw_expressions(bad_dates), f"{MONTH_FILE_SQL} AS {SOURCE_FILE}")
