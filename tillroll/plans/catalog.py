@@ -153,7 +153,14 @@ def q_top_customers(spark, sf_dir):
 
 
 def q_gold_all(spark, sf_dir):
-    return gold.long_form(gold.gold_tables(gold.totals(_silver(spark, sf_dir))))
+    """All published gold tables in long form, from one aggregation pass.
+
+    The grain totals feed five union branches; a reliable checkpoint (in the
+    shared checkpoint folder) computes them once instead of five times.
+    """
+    shared_root(spark)  # make sure a checkpoint folder is set
+    totals = gold.totals(_silver(spark, sf_dir)).checkpoint(eager=True)
+    return gold.long_form(gold.gold_tables(totals))
 
 
 # --- serving: gold tables written by a full pipeline run, then SQL -------------
