@@ -75,29 +75,36 @@ def top_customers(silver: DataFrame, k: int = TOP_K) -> DataFrame:
 GRAINS = ("weekly", "product", "customer", "country")
 
 
-def totals(silver: DataFrame) -> DataFrame:
+GRAIN_KEYS = ["WeekStartDate", "StockCode", "Description", "CustomerID", "Country"]
+
+
+def totals(silver: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
     """Revenue and quantity at the four gold grains in a single pass.
 
     One scan of silver feeds a GROUPING SETS aggregation (Expand + partial
     hash aggregate + one shuffle) instead of four scans and four shuffles.
     Filters that depend only on a grain's key (non-product codes, unknown
-    customers) are applied to the aggregated rows.
+    customers) are applied to the aggregated rows.  ``per`` adds columns to
+    every grain (e.g. the source file, for per-file partial sums).
     """
     base = silver.select(
         week_start("InvoiceTimestamp").alias("WeekStartDate"),
-        "StockCode", "Description", "CustomerID", "Country", "Revenue", "Quantity",
+        "StockCode", "Description", "CustomerID", "Country", "Revenue", "Quantity", *per,
     )
-    keys = ["WeekStartDate", "StockCode", "Description", "CustomerID", "Country"]
+    keys = list(GRAIN_KEYS)
     sets = [["WeekStartDate"], ["StockCode", "Description"], ["CustomerID"], ["Country"]]
-    agg = base.groupingSets(sets, *keys).agg(
+    sets = [s + list(per) for s in sets]
+    agg = base.groupingSets(sets, *keys, *per).agg(
         F.sum("Revenue").alias("revenue"),
         F.sum("Quantity").alias("quantity"),
-        F.grouping_id(*keys).alias("gid"),
+        F.grouping_id(*keys, *per).alias("gid"),
     )
-    # grouping_id bit i (from the left, most significant) is 1 when key i is
-    # aggregated away; compute the id of each set.
+    # grouping_id bit i (from the left, most significant) is 1 when column i
+    # is aggregated away; compute the id of each set.
+    all_keys = keys + list(per)
+
     def gid(kept: list[str]) -> int:
-        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in kept)
+        return sum(1 << (len(all_keys) - 1 - i) for i, k in enumerate(all_keys) if k not in kept)
 
     grain = F.when(F.col("gid") == gid(sets[0]), "weekly")
     for name, kept in zip(GRAINS[1:], sets[1:]):
@@ -105,6 +112,18 @@ def totals(silver: DataFrame) -> DataFrame:
     return agg.withColumn("grain", grain).drop("gid")
 
 
+def merge_totals(partials: DataFrame) -> DataFrame:
+    """Add up partial ``totals`` (e.g. one per source file) to whole totals.
+
+    Exact: the sums are decimals and integers, so adding partial sums gives
+    the same result as summing the rows once.  NULL keys group together, as
+    in the single pass.
+    """
+    return partials.groupBy("grain", *GRAIN_KEYS).agg(
+        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity")
+    )
+
+
 def gold_tables(totals_df: DataFrame, k: int = TOP_K, non_products=NON_PRODUCT_STOCK_CODES) -> dict:
     """The four published tables derived from ``totals``."""
     t = totals_df
