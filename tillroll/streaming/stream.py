@@ -30,7 +30,8 @@ WEEK = "7 days"
 MONDAY_OFFSET = "4 days"
 
 
-def _start(df: DataFrame, checkpoint: str, trigger: dict | None, **writer_opts):
+def _start(df: DataFrame, checkpoint: str, trigger: dict | None):
+    """Writer with its checkpoint; the default trigger drains what is there."""
     w = df.writeStream.option("checkpointLocation", checkpoint)
     return w, (trigger or {"availableNow": True})
 
