@@ -173,3 +173,10 @@ def test_gold_from_partials_equals_full_recompute(spark, workdir):
     pipeline.build_gold(spark, layout, from_partials=False)  # one pass over all silver
     assert gold_rows(spark, layout) == from_partials
     assert len(from_partials) > 300
+
+
+def test_preview_of_an_empty_landing(spark, workdir):
+    layout = Layout(f"{workdir}/empty")
+    os.makedirs(layout.landing.removeprefix("file:"), exist_ok=True)
+    got = dict(map(tuple, pipeline.preview(spark, layout).collect()))
+    assert got["new_files"] == 0 and got["bronze_rows"] == 0 and got["weekly_rows"] == 0

@@ -26,6 +26,7 @@ from tillroll.schemas import (
     GOLD_PRODUCTS_DDL,
     GOLD_WEEKLY_DDL,
     NON_PRODUCT_STOCK_CODES,
+    RAW_READ_SCHEMA,
     SOURCE_FILE,
     TOP_K,
 )
@@ -184,7 +185,9 @@ def new_landing_rows(spark: SparkSession, layout: Layout, max_names: int = MAX_F
     if is_small(new, max_names):
         names = _names(new, "source_file", max_names)
         if not names:
-            return landing.read_csv(spark, landing.landing_glob(layout.landing)).limit(0)
+            return spark.createDataFrame([], RAW_READ_SCHEMA).withColumn(
+                SOURCE_FILE, F.lit(None).cast("string")
+            )
         return landing.read_csv(spark, [landing.entry_path(layout.landing, n) for n in names])
     rows = landing.read_csv(spark, landing.landing_glob(layout.landing))
     return join_small(rows, new.withColumnRenamed("source_file", SOURCE_FILE), SOURCE_FILE, "left_semi")
