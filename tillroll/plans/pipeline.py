@@ -266,7 +266,8 @@ def preview(spark: SparkSession, layout: Layout) -> DataFrame:
 
     Returns ``(metric, value)`` rows: new files, bronze rows they hold, rows
     that pass silver validation, and the row count of each gold table after
-    the run.  One scan of the new files and of the current silver.
+    the run.  One scan of the new files; the current state comes from the
+    per-file gold partials, not from silver.
     """
     configure(spark)
     init_layout(spark, layout)
@@ -277,17 +278,22 @@ def preview(spark: SparkSession, layout: Layout) -> DataFrame:
         F.count_if(F.col("reject_reason").isNull()).alias("silver_rows"),
     )
     kept = silver.clean(checked.where(F.col("reject_reason").isNull()).drop("reject_reason"))
-    current = layers.read_silver(spark, layout.silver)
-    after = current.unionByName(kept)
-    week = F.to_date(F.date_trunc("week", "InvoiceTimestamp"))
+    # Gold keys after the run = keys already in the per-file partials plus the
+    # keys of the rows about to be added: no scan of silver itself.
+    keys = ["grain", *gold.GRAIN_KEYS]
+    current = spark.read.schema(PARTIALS_SCHEMA).parquet(layout.gold_partials).select(*keys)
+    upcoming = gold.totals(kept).select(*keys)
+    grain = F.col("grain")
     is_product = ~F.col("StockCode").isin(list(NON_PRODUCT_STOCK_CODES))
-    gold_counts = after.agg(
-        F.count_distinct(week).alias("weekly_rows"),
-        F.least(F.lit(TOP_K), F.count_distinct(
-            F.when(is_product, F.struct("StockCode", F.coalesce("Description", F.lit("\u0000")))))
-        ).cast("bigint").alias("top_products_rows"),
-        F.least(F.lit(TOP_K), F.count_distinct("CustomerID")).cast("bigint").alias("top_customers_rows"),
-        F.count_distinct(F.coalesce("Country", F.lit("\u0000"))).alias("country_rows"),
+    gold_counts = current.unionByName(upcoming).distinct().agg(
+        F.count_if(grain == "weekly").alias("weekly_rows"),
+        F.least(F.lit(TOP_K), F.count_if((grain == "product") & is_product)).cast("bigint").alias(
+            "top_products_rows"
+        ),
+        F.least(F.lit(TOP_K), F.count_if((grain == "customer") & F.col("CustomerID").isNotNull()))
+        .cast("bigint")
+        .alias("top_customers_rows"),
+        F.count_if(grain == "country").alias("country_rows"),
     )
     parts = [new_files, new_counts, gold_counts]
     long = [p.unpivot([], p.columns, "metric", "value") for p in parts]
