@@ -73,11 +73,16 @@ def _decide(docs: DataFrame) -> DataFrame:
     # Null: the bytes are those of the hash's first text.
     other = F.when(F.col("norm") != F.col("first"), F.col("norm"))
     # Rows that agree in everything count once here and are dealt out again below.
+    compared = settle(
+        many.join(first, "hash").select(
+            "hash", F.struct(other.alias("text")).alias("other"), "doc_id", "points", "text_sha256"
+        ),
+        "op8-compared",
+    )
     cells = settle(
-        many.join(first, "hash")
-        .select("hash", F.struct(other.alias("text")).alias("other"), "doc_id", "points", "text_sha256")
-        .groupBy("hash", "other", "doc_id", "points", "text_sha256")
-        .agg(F.count(F.lit(1)).alias("copies")),
+        compared.groupBy("hash", "other", "doc_id", "points", "text_sha256").agg(
+            F.count(F.lit(1)).alias("copies")
+        ),
         "op8-cells",
     )
     order = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("i"))
