@@ -7,8 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, sharding, source_mix
+from tillroll.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    near_dedup,
+    piece_tokens,
+    sharding,
+    source_mix,
+    suffix_dedup,
+    topk_search,
+    toxicity,
+)
 from tillroll.llm.common import read_table
+from tillroll.llm.licenses import KNOWN, SPELLINGS
+
+
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", topk_search.integer_weights(F.col("embedding")).alias("weights")
+    )
+    found = topk_search.search(vectors, F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,10 +44,33 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def op6_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens.encoded(read_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs)).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard(read_table(spark, sf_dir, "documents"))
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select(
@@ -28,12 +79,81 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": op1_topk_search,
+    "op2_license_scan": op2_license_scan,
+    "op3_near_dedup": op3_near_dedup,
     "op4_source_mix": op4_source_mix,
+    "op5_toxicity": op5_toxicity,
+    "op6_piece_tokens": op6_piece_tokens,
+    "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
 }
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LICENSE_SQL = r"""
+WITH known(license_id, text) AS (VALUES {KNOWN}),
+units AS (
+    SELECT 1 AS kind, CAST(doc_id AS BIGINT) AS doc_id, CAST(NULL AS VARCHAR) AS license_id, text FROM documents
+    UNION ALL
+    SELECT 2, doc_id, NULL, unnest(string_split(text, chr(10))) FROM documents
+    UNION ALL
+    SELECT 3, NULL, license_id, text FROM known
+), lines AS (
+    SELECT kind, doc_id, license_id,
+           list_filter(string_split(lower(coalesce(text, '')), chr(10)),
+                       lambda x: NOT regexp_matches(x, '^[^a-z0-9]*(copyright|copr\.|\(c\)|©|all rights reserved)')) AS kept
+    FROM units
+), forms AS (
+    SELECT kind, doc_id, license_id,
+           array_to_string(list_transform(
+               string_split(trim(regexp_replace(array_to_string(kept, chr(10)), '[^a-z0-9\x80-\x{10FFFF}]+', ' ', 'g')), ' '),
+               lambda w: coalesce(MAP {SPELLINGS}[w], w)), ' ') AS form
+    FROM lines
+), digests AS (
+    SELECT kind, doc_id, license_id, CASE WHEN form <> '' THEN md5(form) END AS digest FROM forms
+), registry AS (
+    SELECT digest, min(license_id) AS known_id FROM digests WHERE kind = 3 AND digest IS NOT NULL GROUP BY digest
+), found AS (
+    SELECT d.doc_id, d.kind, d.digest, r.known_id FROM digests d LEFT JOIN registry r USING (digest) WHERE d.kind < 3
+)
+SELECT doc_id,
+       max(digest) FILTER (WHERE kind = 1) AS text_digest,
+       max(known_id) FILTER (WHERE kind = 1) AS license_id,
+       coalesce(string_agg(DISTINCT known_id, ',' ORDER BY known_id) FILTER (WHERE kind = 2), '') AS notices,
+       count(known_id) FILTER (WHERE kind = 2) AS n_notices
+FROM found GROUP BY doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk_search": """
+WITH e AS (
+    SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS term
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), w AS (
+    SELECT vec_id, term, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS weight FROM e
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.weight * c.weight) AS BIGINT) AS score
+    FROM w q JOIN w c ON q.term = c.term AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+    GROUP BY ALL
+), r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s
+)
+SELECT * FROM r WHERE rank <= 20
+""",
+    "op2_license_scan": _LICENSE_SQL.replace(
+        "{SPELLINGS}", "{" + ", ".join(f"'{a}': '{b}'" for a, b in SPELLINGS.items()) + "}"
+    ).replace("{KNOWN}", ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)),
     "op8_exact_dedup": r"""
 WITH t AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
