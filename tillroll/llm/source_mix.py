@@ -218,7 +218,9 @@ def _pieces(laid, plan, block_words, shard_slots, max_epochs) -> DataFrame:
         .withColumn("block", F.explode(F.sequence(first, last)))
         .select("sid", "block", "doc_id", "source", "offset", (start - F.col("offset")).alias("first_word"), (end - start).alias("n_words"))
     )
-    return _slots(plan, block_words, shard_slots, max_epochs).join(blocks, ["sid", "block"])
+    slots = _slots(plan, block_words, shard_slots, max_epochs)
+    # Slots are made by an explode whose output the planner can't foresee: no broadcast.
+    return slots.hint("merge").join(blocks, ["sid", "block"])
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs=MAX_EPOCHS, block_words=BLOCK_WORDS, shard_slots=SHARD_SLOTS) -> DataFrame:
