@@ -32,6 +32,8 @@ MAX_EPOCHS = 3
 BLOCK_WORDS = 32
 SHARD_SLOTS = 1024
 ROWS_PER_BUCKET = 500
+# Slots made by one task.
+SLOTS_PER_TASK = 100_000
 SEED = 11
 # Rounds of the index permutation.
 ROUNDS = 12
@@ -158,8 +160,10 @@ def _slots(plan: DataFrame, block_words: int, shard_slots: int, max_epochs: int)
         .select("sid", "blocks", "quota", "shard", "slot", "first", "count"),
         "op4-cells",
     )
+    # The cells are few and their slots many: deal them out before they are made.
     slots = (
         cells.where("count > 0")
+        .repartition(max(1, math.ceil(total / SLOTS_PER_TASK)), "shard", "sid")
         .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
         .select("sid", "blocks", "quota", "shard", (F.col("slot") + F.col("i")).alias("slot"), (F.col("first") + F.col("i")).alias("k"))
     )
