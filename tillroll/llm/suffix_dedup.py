@@ -87,11 +87,12 @@ def _gram_hashes(data: np.ndarray, n: int, count: int) -> np.ndarray:
     return out
 
 
-def _anchors(data: np.ndarray, plan: Plan):
+def _anchors(data: np.ndarray, ends: np.ndarray, plan: Plan):
     """Positions and hashes of the sampled grams of ``data``, slice by slice.
 
-    A position is sampled if its hash is the smallest of some ``reach + 1``
-    neighbours.  Grams that cross documents are sampled too; the caller drops them.
+    A position is sampled if its hash is the smallest of the ``reach + 1`` grams of
+    some string of ``length`` bytes within a document; ``ends`` are the documents'
+    ends.  So a document's sample does not depend on its neighbours.
     """
     width, n = plan.reach + 1, len(data) - plan.anchor + 1
     for low in range(0, max(0, n), _SLICE):
@@ -101,11 +102,13 @@ def _anchors(data: np.ndarray, plan: Plan):
         if len(hashes) < width:
             continue
         least = _sliding_min(hashes, width)
+        for end in ends[np.searchsorted(ends, first) : np.searchsorted(ends, last + plan.length)]:
+            least[max(0, end - plan.length + 1 - first) : max(0, end - first)] = 0
         # Largest of the minima of all windows that hold the position.
         edge = np.zeros(plan.reach, np.uint64)
         most = ~_sliding_min(~np.concatenate([edge, least, edge]), width)
         own = slice(low - first, high - first)
-        at = np.flatnonzero(most[own] == hashes[own])
+        at = np.flatnonzero((most[own] == hashes[own]) & (most[own] > 0))
         yield at + low, hashes[own][at]
 
 
@@ -123,11 +126,8 @@ class Bucket:
 
     def anchors(self, plan: Plan):
         """Positions, hashes and documents of the anchors within documents."""
-        ends = self.starts + self.sizes
-        for at, hashes in _anchors(self.data, plan):
-            doc = np.searchsorted(self.starts, at, side="right") - 1
-            inside = at + plan.anchor <= ends[doc]
-            yield at[inside], hashes[inside], doc[inside]
+        for at, hashes in _anchors(self.data, self.starts + self.sizes, plan):
+            yield at, hashes, np.searchsorted(self.starts, at, side="right") - 1
 
     def entries(self, plan: Plan, shared: np.ndarray):
         """Anchors whose hash is in the sorted ``shared``: positions, documents, entries."""
