@@ -112,12 +112,56 @@ def _anchors(data: np.ndarray, ends: np.ndarray, plan: Plan):
         yield at + low, hashes[own][at]
 
 
+# What is shuffled is packed: texts of a bucket together, hashes as byte planes.
+_CODEC = "zstd"
+
+
+def _packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec=_CODEC, asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec=_CODEC, asbytes=True)
+
+
+def _pack_sorted(x: np.ndarray) -> bytes:
+    """Sorted integers as differences, first all lowest bytes, then the next ones."""
+    steps = np.diff(x, prepend=x.dtype.type(0))
+    return _packed(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unpacked(data), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _pack_documents(batches):
+    """The documents of each bucket of a batch as one compressed row."""
+    options = pa.ipc.IpcWriteOptions(compression=_CODEC)
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        bucket = np.asarray(batch["bucket"])
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        numbers, blobs = [], []
+        for rows in np.split(order, cuts):
+            if len(rows):
+                own = table.select(["doc_id", "bytes"]).take(pa.array(rows))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, own.schema, options=options) as writer:
+                    writer.write_table(own)
+                numbers.append(int(bucket[rows[0]]))
+                blobs.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "documents"])
+
+
 class Bucket:
     """The documents of a bucket as one run of bytes."""
 
     def __init__(self, table: pa.Table):
-        ids = table["doc_id"].to_pylist()
-        texts = table["bytes"].to_pylist()
+        parts = [pa.ipc.open_stream(b).read_all() for b in table["documents"].to_pylist()]
+        ids = [i for p in parts for i in p["doc_id"].to_pylist()]
+        texts = [t for p in parts for t in p["bytes"].to_pylist()]
         self.ids = ids
         self.order = np.array([_NONE if i is None else i for i in ids], np.int64)
         self.sizes = np.array([len(t) for t in texts], np.int64)
@@ -186,7 +230,9 @@ def _list_hashes(plan: Plan):
         firsts = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]) != 0) if len(hashes) else np.zeros(0, np.int64)
         several = np.minimum.reduceat(docs, firsts) < np.maximum.reduceat(docs, firsts) if len(firsts) else np.zeros(0, bool)
         hashes = hashes[firsts]
-        rows = [(p, hashes[lo:hi].tobytes(), several[lo:hi].tobytes()) for p, lo, hi in _by_part(hashes, plan)]
+        rows = [
+            (p, _pack_sorted(hashes[lo:hi]), np.packbits(several[lo:hi]).tobytes()) for p, lo, hi in _by_part(hashes, plan)
+        ]
         return pa.table(
             {
                 "part": pa.array([r[0] for r in rows], pa.int64()),
@@ -201,21 +247,25 @@ def _list_hashes(plan: Plan):
 
 def _share(table: pa.Table) -> pa.Table:
     """Of a hash range: what each bucket holds in common with another document."""
-    lists = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
-    several = [np.frombuffer(s, bool) for s in table["several"].to_pylist()]
+    lists = [_unpack_sorted(h) for h in table["hashes"].to_pylist()]
+    several = [
+        np.unpackbits(np.frombuffer(s, np.uint8), count=len(h)).astype(bool)
+        for s, h in zip(table["several"].to_pylist(), lists)
+    ]
     kinds, back, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     twice = n > 1
     twice[back[np.concatenate(several)]] = True
     out, low = [], 0
     for own in lists:
-        out.append(own[twice[back[low : low + len(own)]]].tobytes())
+        out.append(_pack_sorted(own[twice[back[low : low + len(own)]]]))
         low += len(own)
     return pa.table({"part": table["part"], "bucket": table["bucket"], "hashes": pa.array(out, pa.binary())})
 
 
-def _joined(table: pa.Table, column: str, kind) -> np.ndarray:
+def _answers(table: pa.Table, column: str, unpack) -> np.ndarray:
     """A bucket's answers, put together in order of hash range."""
-    return np.frombuffer(b"".join(table.sort_by("part")[column].to_pylist()), kind)
+    parts = [unpack(x) for x in table.sort_by("part")[column].to_pylist()]
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
 
 
 def _list_entries(plan: Plan):
@@ -223,8 +273,11 @@ def _list_entries(plan: Plan):
         """A bucket's distinct contexts of shared anchors, with the smallest document."""
         rows = []
         if len(table):
-            _, _, _, kinds, first = Bucket(table).distinct(plan, _joined(answer, "hashes", np.uint64))
-            rows = [(p, kinds[lo:hi].tobytes(), first[lo:hi].tobytes()) for p, lo, hi in _by_part(_hashes_of(kinds, plan), plan)]
+            _, _, _, kinds, first = Bucket(table).distinct(plan, _answers(answer, "hashes", _unpack_sorted))
+            rows = [
+                (p, _packed(kinds[lo:hi].tobytes()), _packed(first[lo:hi].tobytes()))
+                for p, lo, hi in _by_part(_hashes_of(kinds, plan), plan)
+            ]
             number = table["bucket"][0].as_py()
         return pa.table(
             {
@@ -290,8 +343,8 @@ def _resolve(plan: Plan):
     def run(table: pa.Table) -> pa.Table:
         """Of a hash range: for every bucket's entries, the strings to remove in the
         entry's smallest document there."""
-        lists = [np.frombuffer(e, plan.kind) for e in table["entries"].to_pylist()]
-        docs = [np.frombuffer(f, np.int64) for f in table["first"].to_pylist()]
+        lists = [np.frombuffer(_unpacked(e), plan.kind) for e in table["entries"].to_pylist()]
+        docs = [np.frombuffer(_unpacked(f), np.int64) for f in table["first"].to_pylist()]
         kinds, back = np.unique(np.concatenate(lists), return_inverse=True)
         every = np.concatenate(docs)
         first = np.full(len(kinds), _NONE, np.int64)
@@ -301,7 +354,7 @@ def _resolve(plan: Plan):
         masks = np.where(every > first[back], valid[back], found[back])
         out, low = [], 0
         for own in lists:
-            out.append((_hashes_of(own, plan).tobytes(), masks[low : low + len(own)].tobytes()))
+            out.append((_pack_sorted(_hashes_of(own, plan)), _packed(masks[low : low + len(own)].tobytes())))
             low += len(own)
         return pa.table(
             {
@@ -315,16 +368,16 @@ def _resolve(plan: Plan):
     return run
 
 
-def _remove(plan: Plan, kind: pa.DataType):
+def _remove(plan: Plan):
     def run(table: pa.Table, answer: pa.Table) -> pa.Table:
         """A bucket's documents without the bytes that the strings cover."""
         bucket = Bucket(table) if len(table) else None
-        n_docs = len(table)
+        n_docs = len(bucket.ids) if bucket is not None else 0
         removed, spans, kept = np.zeros(n_docs, np.int64), np.zeros(n_docs, np.int64), []
         if bucket is not None:
             starts = np.zeros(len(bucket.data) + plan.length + 1, np.int32)
-            shared = np.unique(_joined(answer, "hashes", np.uint64))
-            masks = _joined(answer, "masks", np.uint64)
+            shared = np.unique(_answers(answer, "hashes", _unpack_sorted))
+            masks = _answers(answer, "masks", lambda x: np.frombuffer(_unpacked(x), np.uint64))
             at, doc, back, kinds, first = bucket.distinct(plan, shared)
             if len(kinds):
                 whole = _whole(kinds, plan)
@@ -342,7 +395,7 @@ def _remove(plan: Plan, kind: pa.DataType):
                 kept.append(bucket.data[low : low + size][~here].tobytes())
         return pa.table(
             {
-                "doc_id": table["doc_id"].cast(kind),
+                "doc_id": pa.array(bucket.ids if bucket is not None else [], pa.int64()),
                 "n_bytes": pa.array(bucket.sizes if bucket is not None else [], pa.int64()),
                 "n_removed": pa.array(removed),
                 "n_spans": pa.array(spans),
@@ -382,10 +435,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     size = max(bucket_bytes, 64 * math.isqrt(total))
     buckets = max(1, math.ceil(total / size))
     plan = Plan(length, anchor, buckets)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("bytes"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("bytes"))
         .withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "bytes"), F.lit(buckets)))
+        .mapInArrow(_pack_documents, "bucket long, documents binary")
         .repartition("bucket")
     )
     listed = rows.groupBy("bucket").applyInArrow(_list_hashes(plan), "part long, bucket long, hashes binary, several binary")
@@ -399,7 +452,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     return (
         rows.groupBy("bucket")
         .cogroup(masks.groupBy("bucket"))
-        .applyInArrow(_remove(plan, pa.int64()), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+        .applyInArrow(_remove(plan), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     )
 
 
