@@ -299,7 +299,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     tasks = max(1, math.ceil(members.count() / MEMBERS_PER_TASK))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("own_key"))
     matched = (F.col("doc_id") == F.col("node")) & (F.col("own_key") == F.col("text_key"))
-    sets = members.join(texts, matched).select("root", "blocks", "block", "node", "k1", "n", "text").mapInArrow(
+    # One shuffle of the texts at every size, whatever share of them are members.
+    sets = members.hint("merge").join(texts, matched).select("root", "blocks", "block", "node", "k1", "n", "text").mapInArrow(
         _sets, "root long, blocks int, block int, node long, k1 long, n long, shingles binary"
     )
     work = (
