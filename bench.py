@@ -71,14 +71,11 @@ def main() -> None:
     timed("serve_weekly", lambda: catalog.serve(spark, "weekly_revenue", pipeline.read_gold(spark, layout)).collect())
 
     # The same data as chained streams (availableNow).
-    slayout = Layout(fresh_dir(spark, "bench-stream"))
+    slayout = Layout(fresh_dir(spark, "bench-stream"), layout.landing)
     ck = f"{slayout.base}/_checkpoints"
-    timed("stream_bronze", lambda: stream.run_to_end(
-        stream.start_bronze(spark, layout.landing, slayout.bronze, f"{ck}/bronze", max_files_per_trigger=64)))
-    timed("stream_silver", lambda: stream.run_to_end(
-        stream.start_silver(spark, slayout.bronze, slayout.silver, f"{ck}/silver")))
-    timed("stream_weekly", lambda: stream.run_to_end(
-        stream.start_weekly(spark, slayout.silver, slayout.gold_table("weekly_revenue"), f"{ck}/weekly")))
+    timed("stream_bronze", lambda: stream.run_to_end(stream.start_bronze(spark, slayout, f"{ck}/bronze")))
+    timed("stream_silver", lambda: stream.run_to_end(stream.start_silver(spark, slayout, f"{ck}/silver")))
+    timed("stream_weekly", lambda: stream.run_to_end(stream.start_weekly(spark, slayout, f"{ck}/weekly")))
 
     rows = spark.read.parquet(layout.silver).count()
     spark.stop()

@@ -23,16 +23,16 @@ def _bag(df):
 
 
 def test_stream_equals_batch_and_rerun_reads_nothing(spark, workdir):
-    root = f"{workdir}/landing"
+    layout = Layout(f"{workdir}/s")
+    root = layout.landing
     first = F.col("_source_file") <= "sales_1997_12.csv"
     landing.write_csv(sales_lines(spark, SF).where(first), root)
-    layout = Layout(f"{workdir}/s")
     ck = f"{workdir}/ck"
 
     def run_all():
-        stream.run_to_end(stream.start_bronze(spark, root, layout.bronze, f"{ck}/b", max_files_per_trigger=5))
-        stream.run_to_end(stream.start_silver(spark, layout.bronze, layout.silver, f"{ck}/s"))
-        stream.run_to_end(stream.start_weekly(spark, layout.silver, f"{workdir}/weekly", f"{ck}/w"))
+        stream.run_to_end(stream.start_bronze(spark, layout, f"{ck}/b", max_files_per_trigger=40))
+        stream.run_to_end(stream.start_silver(spark, layout, f"{ck}/s"))
+        stream.run_to_end(stream.start_weekly(spark, layout, f"{ck}/w"))
 
     run_all()
     n1 = layers.read_bronze(spark, layout.bronze).count()
@@ -44,12 +44,13 @@ def test_stream_equals_batch_and_rerun_reads_nothing(spark, workdir):
     batch_silver = catalog._silver(spark, SF)
     cols = ["InvoiceNo", "StockCode", "Quantity", "Revenue", "_source_file"]
     assert _bag(layers.read_silver(spark, layout.silver).select(cols)) == _bag(batch_silver.select(cols))
-    weekly = spark.read.parquet(f"{workdir}/weekly")
+    weekly = spark.read.parquet(layout.gold_table("weekly_revenue"))
     assert _bag(weekly.select("WeekStartDate", "WeeklyRevenue")) == _bag(gold.weekly_revenue(batch_silver))
 
 
 def test_append_mode_emits_only_closed_weeks(spark, workdir):
-    root = f"{workdir}/landing"
+    layout = Layout(f"{workdir}/s")
+    root = layout.landing
     lines = [
         "1,A,a,1,2011-01-03 10:00:00,1.00,1.0,X\n",   # week of 2011-01-03
         "2,A,a,2,2011-01-05 10:00:00,1.00,1.0,X\n",
@@ -60,12 +61,11 @@ def test_append_mode_emits_only_closed_weeks(spark, workdir):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as fh:
         fh.write(HEADER + "".join(lines))
-    layout = Layout(f"{workdir}/s")
     ck = f"{workdir}/ck"
-    stream.run_to_end(stream.start_bronze(spark, root, layout.bronze, f"{ck}/b"))
-    stream.run_to_end(stream.start_silver(spark, layout.bronze, layout.silver, f"{ck}/s"))
+    stream.run_to_end(stream.start_bronze(spark, layout, f"{ck}/b"))
+    stream.run_to_end(stream.start_silver(spark, layout, f"{ck}/s"))
     out = f"{workdir}/weekly"
-    q = stream.start_weekly(spark, layout.silver, out, f"{ck}/w", mode="append", late_delay="1 day")
+    q = stream.start_closed_weeks(spark, layout, out, f"{ck}/w", late_delay="1 day")
     stream.run_to_end(q)
     got = {str(r.WeekStartDate): r.WeeklyRevenue for r in spark.read.parquet(out).collect()}
     # The watermark (max event time - 1 day) has passed the first two weeks only.

@@ -65,8 +65,11 @@ def parse_invoice_timestamp(c) -> Column:
 
 
 def revenue(quantity, unit_price) -> Column:
-    """Line revenue, rounded half-up to cents before any aggregation."""
-    return F.round(_col(quantity) * _col(unit_price), 2).cast(REVENUE_TYPE)
+    """Line revenue, rounded half-up to cents before any aggregation.
+
+    NULL if it has more digits than REVENUE_TYPE: a line to reject, not an error.
+    """
+    return F.round(_col(quantity) * _col(unit_price), 2).try_cast(REVENUE_TYPE)
 
 
 def week_start(ts) -> Column:

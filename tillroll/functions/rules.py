@@ -12,7 +12,7 @@ from tillroll.schemas import CANCELLED_PREFIX
 
 
 # Reasons, in check order (the first broken rule names a rejected row).
-RULES = ("null_invoice", "cancelled", "null_stock_code", "bad_quantity", "bad_price", "bad_date")
+RULES = ("null_invoice", "cancelled", "null_stock_code", "bad_quantity", "bad_price", "bad_date", "bad_revenue")
 
 
 def _rules() -> list[tuple[str, Column]]:
@@ -24,16 +24,13 @@ def _rules() -> list[tuple[str, Column]]:
         F.col("Quantity") > 0,
         F.col("UnitPrice") > 0,
         F.col("InvoiceTimestamp").isNotNull(),
+        F.col("Revenue").isNotNull(),
     ]
     return list(zip(RULES, conds))
 
 
 def keep_condition() -> Column:
-    """Conjunction of all rules (a NULL outcome drops the row, as in a filter).
-
-    Written as plain conjuncts so that the NOT NULL checks on raw columns can
-    reach the Parquet scan.
-    """
+    """Conjunction of all rules (a NULL outcome drops the row, as in a filter)."""
     return reduce(lambda a, b: a & b, [cond for _, cond in _rules()])
 
 

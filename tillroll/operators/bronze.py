@@ -8,19 +8,25 @@ changes nothing.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tillroll.schemas import (
     BRONZE_COLUMNS,
     CORRUPT_COLUMN,
     INGESTED_AT,
+    PRICE_TYPE,
     RAW_COLUMNS,
+    REVENUE_TYPE,
     SILVER_COLUMNS,
+    SILVER_PROCESSED_AT,
     SOURCE_FILE,
 )
+from tillroll.sources.tables import is_missing, read_files
 
 BRONZE_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS + [CORRUPT_COLUMN]]
@@ -37,12 +43,12 @@ SILVER_SCHEMA = T.StructType(
         T.StructField("Description", T.StringType(), True),
         T.StructField("Quantity", T.IntegerType(), True),
         T.StructField("InvoiceTimestamp", T.TimestampType(), True),
-        T.StructField("UnitPrice", T.DecimalType(18, 4), True),
+        T.StructField("UnitPrice", PRICE_TYPE, True),
         T.StructField("CustomerID", T.StringType(), True),
         T.StructField("Country", T.StringType(), True),
-        T.StructField("Revenue", T.DecimalType(28, 2), True),
+        T.StructField("Revenue", REVENUE_TYPE, True),
         T.StructField(INGESTED_AT, T.TimestampType(), True),
-        T.StructField("_silver_processed_at_utc", T.TimestampType(), True),
+        T.StructField(SILVER_PROCESSED_AT, T.TimestampType(), True),
         T.StructField(SOURCE_FILE, T.StringType(), True),
     ]
 )
@@ -68,21 +74,54 @@ def write_layer(df: DataFrame, path: str) -> None:
     )
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
-            return spark.createDataFrame([], schema)
-        raise
+def read_bronze(spark: SparkSession, path: str, empty_if_missing: bool = False) -> DataFrame:
+    return read_files(spark, BRONZE_SCHEMA, path, empty_if_missing=empty_if_missing).select(*BRONZE_COLUMNS)
+
+
+def read_silver(spark: SparkSession, path: str, empty_if_missing: bool = False) -> DataFrame:
+    return read_files(spark, SILVER_SCHEMA, path, empty_if_missing=empty_if_missing).select(*SILVER_COLUMNS)
+
+
+# Characters that Hive-style partition folders spell as %XX.
+_ESCAPED = re.compile(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+# What is left of the characters a glob gives a meaning.
+_GLOB = re.compile(r"([,}])")
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, BRONZE_SCHEMA).select(*BRONZE_COLUMNS)
+def partition_glob(path: str, names: list[str]) -> str:
+    """One glob that matches the partition folders of the named source files."""
+    folders = [_GLOB.sub(r"\\\1", _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", n)) for n in names]
+    return f"{path}/{SOURCE_FILE}={{{','.join(folders)}}}"
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, SILVER_SCHEMA).select(*SILVER_COLUMNS)
+def read_named(spark: SparkSession, path: str, schema, names: list[str]) -> DataFrame:
+    """Rows of the named source files; only their partitions are listed and read.
+
+    A name without a partition (a file without rows) adds nothing.
+    """
+    if not names:
+        return spark.createDataFrame([], schema)
+    return read_files(spark, schema, partition_glob(path, names), empty_if_missing=True, basePath=path)
+
+
+def present(spark: SparkSession, path: str, names: list[str]) -> list[str]:
+    """Those of the (few) names that have a partition, from the file listing alone."""
+    if not names:
+        return []
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("basePath", path)
+            .option("pathGlobFilter", "*.parquet")
+            .load(partition_glob(path, names))
+        )
+    except AnalysisException as err:
+        if not is_missing(err):
+            raise
+        return []
+    if SOURCE_FILE not in files.columns:  # folders without a data file
+        return []
+    return sorted(r[0] for r in files.select(F.col(SOURCE_FILE).cast("string")).distinct().collect())
 
 
 def partitions(spark: SparkSession, path: str) -> DataFrame:

@@ -10,43 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tillroll.operators.joins import join_small
+from tillroll.sources.tables import read_files
 from tillroll.schemas import LEDGER_SCHEMA
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger rows; an absent ledger reads as empty."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        raise
-
-
-def ensure_ledger(spark: SparkSession, path: str) -> None:
-    """Create an empty ledger if there is none (CREATE TABLE IF NOT EXISTS)."""
-    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(path)
-
-
-def record(names: DataFrame, path: str, name_col: str = "source_file") -> None:
-    """Append the distinct non-NULL names of ``names`` with the current time."""
-    (
-        names.select(F.col(name_col).alias("source_file"))
-        .where(F.col("source_file").isNotNull())
-        .distinct()
-        .withColumn("processed_at", F.current_timestamp())
-        .write.mode("append")
-        .parquet(path)
-    )
+    return read_files(spark, LEDGER_SCHEMA, path, empty_if_missing=True)
 
 
 def record_names(spark: SparkSession, names: list[str], path: str) -> None:
-    """Append a (small, distinct) list of names taken from the metadata."""
+    """Append a (small, distinct) list of names taken from the metadata, as one file."""
     (
         spark.createDataFrame([(n,) for n in names], "source_file string")
+        .coalesce(1)
         .withColumn("processed_at", F.current_timestamp())
         .write.mode("append")
         .parquet(path)

@@ -14,23 +14,30 @@ from tillroll.functions.parsing import (
     trim_spaces,
 )
 from tillroll.functions.rules import keep_condition, reject_reason
-from tillroll.schemas import INGESTED_AT, SILVER_COLUMNS, SILVER_PROCESSED_AT, SOURCE_FILE
+from tillroll.schemas import INGESTED_AT, RAW_COLUMNS, SILVER_COLUMNS, SILVER_PROCESSED_AT, SOURCE_FILE
 
 
 def typed(bronze: DataFrame) -> DataFrame:
-    """All bronze rows with typed columns (nothing dropped yet)."""
-    return bronze.withColumns(
-        {
-            "InvoiceNo": trim_spaces("InvoiceNo"),
-            "StockCode": trim_spaces("StockCode"),
-            "Description": trim_spaces("Description"),
-            "Country": trim_spaces("Country"),
-            "Quantity": parse_quantity("Quantity"),
-            "UnitPrice": parse_price("UnitPrice"),
-            "CustomerID": canonical_customer_id("CustomerID"),
-            "InvoiceTimestamp": parse_invoice_timestamp("InvoiceDate"),
-        }
+    """All bronze rows with typed columns and Revenue (nothing dropped yet).
+
+    The parsed columns leave through ``inline`` of a one-element array.  A filter on
+    them then stays above that step; over a plain projection the optimiser would
+    copy every parse into the filter and run it twice per row.
+    """
+    kept = [c for c in bronze.columns if c not in RAW_COLUMNS]
+    parsed = F.struct(
+        trim_spaces("InvoiceNo").alias("InvoiceNo"),
+        trim_spaces("StockCode").alias("StockCode"),
+        trim_spaces("Description").alias("Description"),
+        parse_quantity("Quantity").alias("Quantity"),
+        F.col("InvoiceDate"),
+        parse_invoice_timestamp("InvoiceDate").alias("InvoiceTimestamp"),
+        parse_price("UnitPrice").alias("UnitPrice"),
+        canonical_customer_id("CustomerID").alias("CustomerID"),
+        trim_spaces("Country").alias("Country"),
     )
+    rows = bronze.select(*kept, F.inline(F.array(parsed)))
+    return rows.withColumn("Revenue", revenue("Quantity", "UnitPrice"))
 
 
 def with_reject_reason(bronze: DataFrame) -> DataFrame:
@@ -38,24 +45,24 @@ def with_reject_reason(bronze: DataFrame) -> DataFrame:
     return typed(bronze).withColumn("reject_reason", reject_reason())
 
 
-def clean(bronze: DataFrame) -> DataFrame:
-    """Silver rows in the published column order.
+def published(rows: DataFrame) -> DataFrame:
+    """Typed, kept rows in the published column order.
 
-    Duplicate lines are kept (the source has no row key).  Audit columns that
-    a caller did not provide are filled in: ``_ingested_at_utc`` stays NULL,
-    ``_silver_processed_at_utc`` is the query start time.
+    Audit columns that a caller did not provide are filled in: ``_ingested_at_utc``
+    stays NULL, ``_silver_processed_at_utc`` is the query start time.
     """
+    extra = {SILVER_PROCESSED_AT: F.current_timestamp()}
+    for name, kind in ((INGESTED_AT, "timestamp"), (SOURCE_FILE, "string")):
+        if name not in rows.columns:
+            extra[name] = F.lit(None).cast(kind)
+    return rows.withColumns(extra).select(*SILVER_COLUMNS)
+
+
+def clean(bronze: DataFrame) -> DataFrame:
+    """Silver rows.  Duplicate lines are kept (the source has no row key)."""
     # NULL checks on the raw text are implied by the rules (trim keeps NULL
-    # as NULL) and, unlike checks on trimmed values, reach the Parquet scan.
+    # as NULL) and, unlike checks on parsed values, reach the Parquet scan.
     raw_not_null = F.col("InvoiceNo").isNotNull() & F.col("StockCode").isNotNull() & F.col(
         "InvoiceDate"
     ).isNotNull()
-    rows = typed(bronze.where(raw_not_null)).filter(keep_condition())
-    extra = {}
-    if INGESTED_AT not in rows.columns:
-        extra[INGESTED_AT] = F.lit(None).cast("timestamp")
-    if SOURCE_FILE not in rows.columns:
-        extra[SOURCE_FILE] = F.lit(None).cast("string")
-    extra["Revenue"] = revenue("Quantity", "UnitPrice")
-    extra[SILVER_PROCESSED_AT] = F.current_timestamp()
-    return rows.withColumns(extra).select(*SILVER_COLUMNS)
+    return published(typed(bronze.where(raw_not_null)).filter(keep_condition()))

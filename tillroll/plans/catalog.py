@@ -11,21 +11,23 @@ money as DOUBLE, timestamps as TIMESTAMP_NTZ, counts as BIGINT.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.naming import base_name
 from tillroll.operators import bronze as layers
 from tillroll.operators import gold, ledger, silver
 from tillroll.plans import pipeline
 from tillroll.plans.oracle import FIRST_BATCH_LAST_FILE
 from tillroll.plans.pipeline import Layout
 from tillroll.plans.serving import serve, table_counts
-from tillroll.schemas import CORRUPT_COLUMN, NON_PRODUCT_STOCK_CODES, RAW_COLUMNS, SOURCE_FILE, TOP_K
-from tillroll.session import configure, fresh_dir, shared_root
+from tillroll.schemas import CORRUPT_COLUMN, GOLD_DDL, RAW_COLUMNS, SOURCE_FILE
+from tillroll.session import fresh_dir, pinned, shared_root
 from tillroll.sources import landing
 from tillroll.sources.fixture import sales_lines
-from tillroll.sources.tables import table
+from tillroll.sources.tables import read_files, table
 from tillroll.streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +37,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter lines shaped as bronze rows (no CSV round trip)."""
-    configure(spark)
     lines = sales_lines(spark, sf_dir)
     return layers.to_bronze(lines.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string")))
 
@@ -44,31 +45,55 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean(_bronze_rows(spark, sf_dir))
 
 
-_LANDING: dict[tuple[str, str], str] = {}
+# Landing zones and finished pipelines that keys only read, made once per session
+# and input.
+_MADE: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, make):
+    key = (what, sf_dir, shared_root(spark))
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
 
 
 def fixture_landing(spark: SparkSession, sf_dir: str) -> str:
-    """Landing folder holding every month of the adapter lines (written once
-    per session and scale factor, then only read).  A non-sales CSV
-    (``nations.csv``) sits beside them and must be ignored by discovery."""
-    key = (sf_dir, shared_root(spark))
-    if key not in _LANDING:
+    """Landing folder holding every month of the adapter lines (only read).  A
+    non-sales CSV (``nations.csv``) sits beside them and must be ignored."""
+
+    def make() -> str:
         root = fresh_dir(spark, "landing")
         landing.write_csv(sales_lines(spark, sf_dir), root)
         table(spark, sf_dir, "nation").write.option("header", "true").csv(f"{root}/nations.csv")
-        _LANDING[key] = root
-    return _LANDING[key]
+        return root
+
+    return _once(spark, sf_dir, "landing", make)
 
 
 def _landed_layout(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Layout:
     """A fresh pipeline folder whose landing zone holds the adapter lines."""
-    configure(spark)
     layout = Layout(fresh_dir(spark, "pipeline"))
     lines = sales_lines(spark, sf_dir)
     landing.write_csv(lines if where is None else lines.where(where), layout.landing)
     return layout
 
 
+def finished(spark: SparkSession, sf_dir: str) -> Layout:
+    """A pipeline that took all months in one increment (only read)."""
+
+    def make() -> Layout:
+        layout = _landed_layout(spark, sf_dir)
+        pipeline.run_increment(spark, layout)
+        return layout
+
+    return _once(spark, sf_dir, "finished", make)
+
+
+def two_arrivals(spark: SparkSession, sf_dir: str) -> Layout:
+    """A pipeline that took its months in two increments (only read)."""
+    return _once(spark, sf_dir, "two_arrivals", lambda: arrival_scenario(spark, sf_dir))
+
+
 def _first(c: str = SOURCE_FILE) -> Column:
     return F.col(c) <= F.lit(FIRST_BATCH_LAST_FILE)
 
@@ -76,21 +101,22 @@ def _first(c: str = SOURCE_FILE) -> Column:
 def arrival_scenario(spark: SparkSession, sf_dir: str, stop: str = "done") -> Layout:
     """Two arrivals: months up to 1997 first, the rest later.
 
+    stop = "first_in_bronze": first batch in bronze only, second batch in landing.
     stop = "second_landed": first increment done, second batch in landing.
     stop = "second_in_bronze": ... and ingested into bronze only.
     stop = "done": both increments fully processed.
     """
     layout = _landed_layout(spark, sf_dir, _first())
-    pipeline.run_increment(spark, layout)
+    if stop == "first_in_bronze":
+        pipeline.ingest_bronze(spark, layout)
+    else:
+        pipeline.run_increment(spark, layout)
     lines = sales_lines(spark, sf_dir)
     landing.write_csv(lines.where(~_first()), layout.landing)
-    if stop == "second_landed":
-        return layout
-    pipeline.ingest_bronze(spark, layout)
     if stop == "second_in_bronze":
-        return layout
-    pipeline.transform_silver(spark, layout)
-    pipeline.build_gold(spark, layout)
+        pipeline.ingest_bronze(spark, layout)
+    elif stop == "done":
+        pipeline.run_increment(spark, layout)
     return layout
 
 
@@ -111,21 +137,6 @@ def _raw_out(df: DataFrame) -> DataFrame:
     return df.select(*RAW_COLUMNS, SOURCE_FILE)
 
 
-def _gold_counts(silver_rows: DataFrame) -> DataFrame:
-    week = F.to_date(F.date_trunc("week", "InvoiceTimestamp"))
-    product = F.when(
-        ~F.col("StockCode").isin(list(NON_PRODUCT_STOCK_CODES)),
-        F.struct("StockCode", F.coalesce("Description", F.lit("\u0000"))),
-    )
-    wide = silver_rows.agg(
-        F.count_distinct(week).alias("weekly_rows"),
-        F.least(F.lit(TOP_K), F.count_distinct(product)).cast("bigint").alias("top_products_rows"),
-        F.least(F.lit(TOP_K), F.count_distinct("CustomerID")).cast("bigint").alias("top_customers_rows"),
-        F.count_distinct(F.coalesce("Country", F.lit("\u0000"))).alias("country_rows"),
-    )
-    return wide.unpivot([], wide.columns, "metric", "value")
-
-
 # --- gold ----------------------------------------------------------------------
 
 def q_weekly_revenue(spark, sf_dir):
@@ -167,9 +178,7 @@ def q_gold_all(spark, sf_dir):
 
 def _served(which: str) -> Query:
     def run(spark, sf_dir):
-        layout = _landed_layout(spark, sf_dir)
-        pipeline.run_increment(spark, layout)
-        return serve(spark, which, pipeline.read_gold(spark, layout))
+        return serve(spark, which, pipeline.read_gold(spark, finished(spark, sf_dir)))
 
     run.__name__ = f"q_serve_{which}"
     return run
@@ -206,14 +215,14 @@ def q_reject_reasons(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    r = silver.with_reject_reason(_bronze_rows(spark, sf_dir))
-    kept = silver.clean(_bronze_rows(spark, sf_dir))
-    wide = r.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count("reject_reason").alias("rejected_rows"),
-        F.count_if(F.col("reject_reason").isNull()).alias("silver_rows"),
+    """Rows per stage and of each gold table, from one pass over the lines."""
+    checked = silver.with_reject_reason(_bronze_rows(spark, sf_dir)).withColumn("is_new", F.lit(True))
+    wide = gold.stage_counts(checked).select(
+        F.col("rows").alias("raw_rows"),
+        (F.col("rows") - F.col("silver_rows")).alias("rejected_rows"),
+        "silver_rows", "weekly_rows", "top_products_rows", "top_customers_rows", "country_rows",
     )
-    return wide.unpivot([], wide.columns, "metric", "value").unionByName(_gold_counts(kept))
+    return wide.unpivot([], wide.columns, "metric", "value")
 
 
 def q_archive_months(spark, sf_dir):
@@ -237,20 +246,28 @@ def q_landing_files(spark, sf_dir):
 
 def q_monthly_split(spark, sf_dir):
     """The full history (every date readable) split by the month of its
-    InvoiceDate through the gated split job, then read back per file."""
-    configure(spark)
+    InvoiceDate, twice over (the second split replaces the first), then read back
+    per file.  A history with unreadable dates is refused and changes nothing."""
     root = fresh_dir(spark, "archive")
     history = sales_lines(spark, sf_dir, bad_dates=False).drop(SOURCE_FILE)
-    pipeline.split_monthly(spark, history, root)
+    for _ in range(2):
+        pipeline.split_monthly(spark, history, root)
+    try:
+        pipeline.split_monthly(spark, sales_lines(spark, sf_dir).drop(SOURCE_FILE), root)
+    except ValueError:
+        pass
     rows = landing.read_csv(spark, landing.landing_glob(root))
     return rows.groupBy(F.col(SOURCE_FILE).alias("source_file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def q_path_basename(spark, sf_dir):
-    layout = _landed_layout(spark, sf_dir)
-    pipeline.ingest_bronze(spark, layout)
-    b = layers.read_bronze(spark, layout.bronze)
-    return b.groupBy(F.col(SOURCE_FILE).alias("source_file")).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per landing entry, its name cut from the entry's path."""
+    root = fixture_landing(spark, sf_dir)
+    files = landing.list_files(spark, root).select(
+        F.substring_index(base_name(F.regexp_replace("path", "/part-[^/]*$", "")), "=", -1).alias("name")
+    ).distinct()
+    rows = landing.read_csv(spark, landing.landing_glob(root)).groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows"))
+    return files.join(rows, F.col("name") == F.col(SOURCE_FILE)).select(F.col("name").alias("source_file"), "rows")
 
 
 def q_bronze_ingest(spark, sf_dir):
@@ -270,12 +287,12 @@ def q_incremental_bronze(spark, sf_dir):
 
 
 def q_bronze_source_files(spark, sf_dir):
-    layout = arrival_scenario(spark, sf_dir)
+    layout = two_arrivals(spark, sf_dir)
     return layers.partitions(spark, layout.bronze).orderBy("source_file")
 
 
 def q_ledger_state(spark, sf_dir):
-    layout = arrival_scenario(spark, sf_dir)
+    layout = two_arrivals(spark, sf_dir)
     b = ledger.read_ledger(spark, layout.bronze_ledger).select(F.lit("bronze").alias("layer"), "source_file")
     s = ledger.read_ledger(spark, layout.silver_ledger).select(F.lit("silver").alias("layer"), "source_file")
     return b.unionByName(s)
@@ -303,14 +320,13 @@ def q_idempotent_reload(spark, sf_dir):
 
 
 def q_run_increment(spark, sf_dir):
-    layout = arrival_scenario(spark, sf_dir)
+    layout = two_arrivals(spark, sf_dir)
     return gold.long_form(pipeline.read_gold(spark, layout))
 
 
 def q_table_counts(spark, sf_dir):
     """Row counts of all eight tables after a full run, by SQL."""
-    layout = _landed_layout(spark, sf_dir)
-    pipeline.run_increment(spark, layout)
+    layout = finished(spark, sf_dir)
     return table_counts(spark, pipeline.published_tables(spark, layout))
 
 
@@ -319,18 +335,53 @@ def q_preview(spark, sf_dir):
     return pipeline.preview(spark, layout)
 
 
+def q_preview_backlog(spark, sf_dir):
+    """The preview of a half-processed pipeline: one batch waits in bronze, one in landing."""
+    return pipeline.preview(spark, arrival_scenario(spark, sf_dir, "first_in_bronze"))
+
+
+def q_increment_edge_cases(spark, sf_dir):
+    """Increments that add nothing to silver: a month whose lines are all cancelled,
+    one whose lines are all too large to hold, then one with nothing new.  The
+    ledgers, silver's rows and gold's weeks afterwards."""
+    layout = Layout(fresh_dir(spark, "edges"))
+    lines = sales_lines(spark, sf_dir)
+    files = sorted(r[0] for r in lines.select(SOURCE_FILE).distinct().collect())  # one name a month
+    landing.write_csv(lines.where(F.col(SOURCE_FILE) < files[-2]), layout.landing)
+    pipeline.run_increment(spark, layout)
+    cancelled = lines.where(F.col(SOURCE_FILE) == files[-2]).withColumn("InvoiceNo", F.lit("C1"))
+    too_large = lines.where(F.col(SOURCE_FILE) == files[-1]).withColumns(
+        {"Quantity": F.lit("2000000000"), "UnitPrice": F.lit("99999999999999999")}
+    )
+    for rows in (cancelled, too_large):
+        landing.write_csv(rows, layout.landing)
+        pipeline.run_increment(spark, layout)
+    pipeline.run_increment(spark, layout)
+    counts = {
+        "bronze_files": ledger.read_ledger(spark, layout.bronze_ledger),
+        "silver_files": ledger.read_ledger(spark, layout.silver_ledger),
+        "bronze_rows": layers.read_bronze(spark, layout.bronze),
+        "silver_rows": layers.read_silver(spark, layout.silver),
+        "weekly_rows": pipeline.read_gold(spark, layout)["weekly_revenue"],
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(k).alias("metric"), "value") for k, df in counts.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- streaming ------------------------------------------------------------------
 
 def _streamed(spark, sf_dir, upto: str) -> Layout:
-    configure(spark)
+    """Streams over two arrivals; each stream is started again for the second."""
     layout = Layout(fresh_dir(spark, "stream"))
-    root = fixture_landing(spark, sf_dir)
     ck = f"{layout.base}/_checkpoints"
-    stream.run_to_end(stream.start_bronze(spark, root, layout.bronze, f"{ck}/bronze", max_files_per_trigger=16))
-    if upto in ("silver", "weekly"):
-        stream.run_to_end(stream.start_silver(spark, layout.bronze, layout.silver, f"{ck}/silver"))
-    if upto == "weekly":
-        stream.run_to_end(stream.start_weekly(spark, layout.silver, layout.gold_table("weekly_revenue"), f"{ck}/weekly"))
+    lines = sales_lines(spark, sf_dir)
+    for batch in (_first(), ~_first()):
+        landing.write_csv(lines.where(batch), layout.landing)
+        stream.run_to_end(stream.start_bronze(spark, layout, f"{ck}/bronze", max_files_per_trigger=64))
+        if upto in ("silver", "weekly"):
+            stream.run_to_end(stream.start_silver(spark, layout, f"{ck}/silver"))
+        if upto == "weekly":
+            stream.run_to_end(stream.start_weekly(spark, layout, f"{ck}/weekly"))
     return layout
 
 
@@ -346,7 +397,18 @@ def q_stream_silver(spark, sf_dir):
 
 def q_stream_weekly(spark, sf_dir):
     layout = _streamed(spark, sf_dir, "weekly")
-    return spark.read.schema(pipeline.GOLD_DDL["weekly_revenue"]).parquet(layout.gold_table("weekly_revenue"))
+    return read_files(spark, GOLD_DDL["weekly_revenue"], layout.gold_table("weekly_revenue"))
+
+
+def _utc(query: Query) -> Query:
+    """Build a query with the pipeline's settings; the session keeps its own."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with pinned(spark):
+            return query(spark, sf_dir)
+
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -379,8 +441,11 @@ QUERIES: dict[str, Query] = {
     "gold_all": q_gold_all,
     "run_increment": q_run_increment,
     "preview": q_preview,
+    "preview_backlog": q_preview_backlog,
+    "increment_edge_cases": q_increment_edge_cases,
     "table_counts": q_table_counts,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_weekly": q_stream_weekly,
 }
+QUERIES = {key: _utc(query) for key, query in QUERIES.items()}

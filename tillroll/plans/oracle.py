@@ -207,6 +207,22 @@ ORACLE_SQL = {
         UNION ALL SELECT 'bronze_rows', CAST(count(*) AS BIGINT) FROM raw
         UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM silver
         UNION ALL """ + _GOLD_COUNTS),
+    "preview_backlog": _q(f"""
+        SELECT 'new_files' AS metric, CAST(count(*) AS BIGINT) AS value FROM months
+        WHERE _source_file > '{FIRST_BATCH_LAST_FILE}'
+        UNION ALL SELECT 'bronze_rows', CAST(count(*) AS BIGINT) FROM raw
+        WHERE _source_file > '{FIRST_BATCH_LAST_FILE}'
+        UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM silver
+        UNION ALL """ + _GOLD_COUNTS),
+    "increment_edge_cases": _q("""
+        , kept AS (
+            SELECT * FROM silver WHERE _source_file < (
+                SELECT min(_source_file) FROM (SELECT _source_file FROM months ORDER BY 1 DESC LIMIT 2)))
+        SELECT 'bronze_files' AS metric, CAST(count(*) AS BIGINT) AS value FROM months
+        UNION ALL SELECT 'silver_files', CAST(count(*) AS BIGINT) FROM months
+        UNION ALL SELECT 'bronze_rows', CAST(count(*) AS BIGINT) FROM raw
+        UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM kept
+        UNION ALL SELECT 'weekly_rows', CAST(count(DISTINCT date_trunc('week', InvoiceTimestamp)) AS BIGINT) FROM kept"""),
     "table_counts": _q("""
         SELECT 'bronze_online_retail' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM raw
         UNION ALL SELECT 'silver_online_retail', CAST(count(*) AS BIGINT) FROM silver

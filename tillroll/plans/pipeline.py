@@ -1,15 +1,17 @@
 """The incremental pipeline: landing -> bronze -> silver -> gold.
 
-Each step is one Spark job over the new input only (plus the full-recompute of
-the small gold tables).  Only metadata reaches the driver: the names of new
-source files (at most ``max_files`` per round, the rest in further rounds) and
-scalar row counts gathered with ``Observation`` during the writes.
+Each step is a Spark job over the new input only; gold is added up from small
+per-file totals.  Only metadata reaches the driver: names of new source files, in
+rounds of ``max_files``, and row counts of what was written, read back from the
+written partitions (so an empty or wholly rejected file counts as 0).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,43 +21,31 @@ from tillroll.operators import bronze as layers
 from tillroll.operators import gold, ledger, silver
 from tillroll.operators.joins import is_small, join_small
 from tillroll.plans.serving import GOLD_TABLE_NAMES
-from tillroll.schemas import (
-    CORRUPT_COLUMN,
-    GOLD_COUNTRY_DDL,
-    GOLD_CUSTOMERS_DDL,
-    GOLD_PRODUCTS_DDL,
-    GOLD_WEEKLY_DDL,
-    NON_PRODUCT_STOCK_CODES,
-    RAW_READ_SCHEMA,
-    SOURCE_FILE,
-    TOP_K,
-)
-from tillroll.session import configure
+from tillroll.schemas import CORRUPT_COLUMN, GOLD_DDL, RAW_READ_SCHEMA, SOURCE_FILE, TOP_K
+from tillroll.session import pinned
 from tillroll.sources import landing
+from tillroll.sources.tables import read_files
 
 # Source files handled per round; a larger backlog takes several rounds.
 MAX_FILES_PER_ROUND = 1000
 
-GOLD_DDL = {
-    "weekly_revenue": GOLD_WEEKLY_DDL,
-    "top_products": GOLD_PRODUCTS_DDL,
-    "top_customers": GOLD_CUSTOMERS_DDL,
-    "revenue_by_country": GOLD_COUNTRY_DDL,
-}
-
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one pipeline instance under a base path."""
+    """Folders of one pipeline instance under a base path.
+
+    ``landing_root`` names a landing zone elsewhere.
+    """
 
     base: str
+    landing_root: str | None = None
 
     def _p(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
     @property
     def landing(self) -> str:
-        return self._p("landing")
+        return self.landing_root or self._p("landing")
 
     @property
     def bronze(self) -> str:
@@ -69,6 +59,10 @@ class Layout:
     def gold(self) -> str:
         return self._p("gold")
 
+    @property
+    def gold_totals(self) -> str:
+        return f"{self.gold}/_totals"
+
     @property
     def gold_partials(self) -> str:
         return self._p("gold_partials")
@@ -85,24 +79,25 @@ class Layout:
         return f"{self.gold}/{GOLD_TABLE_NAMES[key]}"
 
 
-PARTIALS_SCHEMA = (
+TOTALS_SCHEMA = (
     "WeekStartDate DATE, StockCode STRING, Description STRING, CustomerID STRING, "
-    "Country STRING, revenue DECIMAL(38,2), quantity BIGINT, grain STRING, _source_file STRING"
+    "Country STRING, revenue DECIMAL(38,2), quantity BIGINT, grain STRING"
 )
+PARTIALS_SCHEMA = f"{TOTALS_SCHEMA}, {SOURCE_FILE} STRING"
 
 
 def init_layout(spark: SparkSession, layout: Layout) -> None:
-    """Create empty bronze, silver and ledger tables where there are none
+    """Create empty bronze, silver, totals and ledger tables where there are none
     (``mode('ignore')`` = CREATE TABLE IF NOT EXISTS)."""
-    empty_layers = (
+    tables = (
         (layers.BRONZE_SCHEMA, layout.bronze, True),
         (layers.SILVER_SCHEMA, layout.silver, True),
+        (PARTIALS_SCHEMA, layout.gold_partials, True),
         (ledger.LEDGER_SCHEMA, layout.bronze_ledger, False),
         (ledger.LEDGER_SCHEMA, layout.silver_ledger, False),
     )
-    empty_layers += ((PARTIALS_SCHEMA, layout.gold_partials, True),)
-    for schema, path, partitioned in empty_layers:
-        writer = spark.createDataFrame([], schema).write.mode("ignore")
+    for schema, path, partitioned in tables:
+        writer = spark.createDataFrame([], schema).coalesce(1).write.mode("ignore")
         if partitioned:
             writer = writer.partitionBy(SOURCE_FILE)
         writer.parquet(path)
@@ -113,60 +108,89 @@ def _names(df: DataFrame, col: str, limit: int) -> list[str]:
     return [r[0] for r in df.select(col).orderBy(col).limit(limit).collect()]
 
 
+def _rounds(df: DataFrame, size: int) -> Iterator[list[str]]:
+    """All names of a metadata DataFrame, sorted, ``size`` at a time.
+
+    The set is computed once; a large backlog is walked through, not listed
+    anew for each round.
+    """
+    names: list[str] = []
+    for row in df.select("source_file").orderBy("source_file").toLocalIterator():
+        names.append(row[0])
+        if len(names) == size:
+            yield names
+            names = []
+    if names:
+        yield names
+
+
 def new_landing_files(spark: SparkSession, layout: Layout) -> DataFrame:
     """Landing entries not yet in the bronze ledger."""
     entries = landing.list_landing(spark, layout.landing)
     return ledger.unprocessed(entries, ledger.read_ledger(spark, layout.bronze_ledger))
 
 
+def _ingest(spark: SparkSession, layout: Layout, names: list[str]) -> dict:
+    """Write the named landing entries to bronze, then record them."""
+    rows = landing.read_csv(spark, [landing.entry_path(layout.landing, n) for n in names])
+    layers.write_layer(layers.to_bronze(rows), layout.bronze)
+    written = layers.read_named(spark, layout.bronze, layers.BRONZE_SCHEMA, names).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(CORRUPT_COLUMN).alias("corrupt_rows")
+    ).first()
+    ledger.record_names(spark, names, layout.bronze_ledger)
+    return {"files": len(names), "rows": written["rows"], "corrupt_rows": written["corrupt_rows"]}
+
+
+def _add(totals: dict, more: dict) -> None:
+    for key, value in more.items():
+        totals[key] += value
+
+
 def ingest_bronze(spark: SparkSession, layout: Layout, max_files: int = MAX_FILES_PER_ROUND) -> dict:
-    """Append every new landing file to bronze, then record it in the ledger."""
-    configure(spark)
-    init_layout(spark, layout)
+    """Append every new landing file to bronze, then record it in the ledger.
+
+    The only step that starts a pipeline: it creates the tables of a fresh base.
+    """
     totals = {"files": 0, "rows": 0, "corrupt_rows": 0}
-    while True:
-        names = _names(new_landing_files(spark, layout), "source_file", max_files)
-        if not names:
-            return totals
-        rows = landing.read_csv(spark, [landing.entry_path(layout.landing, n) for n in names])
-        obs = Observation("bronze")
-        out = layers.to_bronze(rows).observe(
-            obs,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"),
-        )
-        layers.write_layer(out, layout.bronze)
-        ledger.record_names(spark, names, layout.bronze_ledger)
-        metrics = obs.get
-        totals["files"] += len(names)
-        totals["rows"] += metrics["rows"]
-        totals["corrupt_rows"] += metrics["corrupt_rows"]
-        if len(names) < max_files:
-            return totals
+    with pinned(spark):
+        new = new_landing_files(spark, layout)  # a missing landing zone is an error
+        init_layout(spark, layout)
+        for names in _rounds(new, max_files):
+            _add(totals, _ingest(spark, layout, names))
+    return totals
+
+
+def ingest_files(spark: SparkSession, layout: Layout, names: list[str]) -> dict:
+    """Ingest those of the named landing entries that bronze has not seen yet."""
+    with pinned(spark):
+        init_layout(spark, layout)
+        named = spark.createDataFrame([(n,) for n in names], "source_file string")
+        new = _names(ledger.unprocessed(named, ledger.read_ledger(spark, layout.bronze_ledger)), "source_file", len(names))
+        return _ingest(spark, layout, new) if new else {"files": 0, "rows": 0, "corrupt_rows": 0}
 
 
 def unprocessed_bronze_files(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Source files with rows in bronze that are not in the silver ledger.
+    """Source files in the bronze ledger that are not in the silver ledger.
 
-    Bronze's partitions come from its file listing (no data read); an empty
-    landing file has no partition and so never reaches silver, as in the
-    reference.
+    A landing file without rows is one of them until it has rows: it has no
+    partition, so silver passes over it, as in the reference.
     """
-    present = layers.partitions(spark, layout.bronze)
-    return ledger.unprocessed(present, ledger.read_ledger(spark, layout.silver_ledger))
+    read_files(spark, layers.BRONZE_SCHEMA, layout.bronze)  # missing bronze is an error
+    done = ledger.read_ledger(spark, layout.bronze_ledger).select("source_file").distinct()
+    return ledger.unprocessed(done, ledger.read_ledger(spark, layout.silver_ledger))
 
 
 def incremental_bronze(spark: SparkSession, layout: Layout, names: list[str]) -> DataFrame:
-    """Bronze rows of the named files; the literal list prunes partitions."""
-    return layers.read_bronze(spark, layout.bronze).where(F.col(SOURCE_FILE).isin(names))
+    """Bronze rows of the named files; only their partitions are listed."""
+    return layers.read_named(spark, layout.bronze, layers.BRONZE_SCHEMA, names).select(*layers.BRONZE_COLUMNS)
 
 
 def unprocessed_bronze_rows(spark: SparkSession, layout: Layout, max_names: int = MAX_FILES_PER_ROUND) -> DataFrame:
     """All bronze rows silver has not seen yet.
 
-    Up to ``max_names`` files: a literal list, so only their partitions are
-    listed and read.  Beyond: a semi join with the file set (exact; the file
-    set is broadcast only if its size check passes).
+    Up to ``max_names`` files: only their partitions are listed and read.
+    Beyond: a semi join with the file set (exact; the file set is broadcast only
+    if its size check passes).
     """
     files = unprocessed_bronze_files(spark, layout)
     if is_small(files, max_names):
@@ -195,38 +219,33 @@ def new_landing_rows(spark: SparkSession, layout: Layout, max_names: int = MAX_F
 
 def transform_silver(spark: SparkSession, layout: Layout, max_files: int = MAX_FILES_PER_ROUND) -> dict:
     """Clean the bronze rows of files silver has not seen yet."""
-    configure(spark)
-    init_layout(spark, layout)
     totals = {"files": 0, "rows_in": 0, "rows_out": 0}
-    while True:
-        names = _names(unprocessed_bronze_files(spark, layout), "source_file", max_files)
-        if not names:
-            return totals
-        obs_in, obs_out = Observation("silver_in"), Observation("silver_out")
-        rows = incremental_bronze(spark, layout, names).observe(obs_in, F.count(F.lit(1)).alias("rows"))
-        out = silver.clean(rows).observe(obs_out, F.count(F.lit(1)).alias("rows"))
-        layers.write_layer(out, layout.silver)
-        write_partials(spark, layout, names)
-        ledger.record_names(spark, names, layout.silver_ledger)
-        totals["files"] += len(names)
-        totals["rows_in"] += obs_in.get["rows"]
-        totals["rows_out"] += obs_out.get["rows"]
-        if len(names) < max_files:
-            return totals
-
-
-def write_partials(spark: SparkSession, layout: Layout, names: list[str]) -> None:
-    """Per-source-file grain totals of the named silver files.
+    with pinned(spark):
+        for candidates in _rounds(unprocessed_bronze_files(spark, layout), max_files):
+            names = layers.present(spark, layout.bronze, candidates)
+            if not names:
+                continue
+            rows = incremental_bronze(spark, layout, names)
+            layers.write_layer(silver.clean(rows), layout.silver)
+            written = write_partials(spark, layout, names)
+            ledger.record_names(spark, names, layout.silver_ledger)
+            _add(totals, {"files": len(names), "rows_in": rows.count(), "rows_out": written})
+    return totals
+
+
+def write_partials(spark: SparkSession, layout: Layout, names: list[str]) -> int:
+    """Per-source-file grain totals of the named silver files; returns their rows.
 
     Written like the layers (dynamic overwrite of the files' partitions), so
-    a retried round replaces them.  Reads only the named silver partitions.
+    a retried round replaces them.  Lists and reads only the named partitions.
     """
-    rows = layers.read_silver(spark, layout.silver).where(F.col(SOURCE_FILE).isin(names))
+    rows = layers.read_named(spark, layout.silver, layers.SILVER_SCHEMA, names)
     layers.write_layer(gold.totals(rows, per=(SOURCE_FILE,)), layout.gold_partials)
+    return rows.count()
 
 
 def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K, from_partials: bool = True) -> None:
-    """Rebuild the four gold tables.
+    """Rebuild the four gold tables (empty ones if silver has no row).
 
     ``from_partials`` (default): add up the per-file partial totals that each
     silver round leaves behind -- work grows with the number of files and
@@ -236,68 +255,65 @@ def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K, from_partial
     The grain totals are written first (partitioned by grain): that cuts the
     lineage, and each published table then reads only its own partition.
     """
-    configure(spark)
-    init_layout(spark, layout)
-    totals_path = f"{layout.gold}/_totals"
-    if from_partials:
-        whole = gold.merge_totals(spark.read.schema(PARTIALS_SCHEMA).parquet(layout.gold_partials))
-    else:
-        whole = gold.totals(layers.read_silver(spark, layout.silver))
-    whole.write.mode("overwrite").partitionBy("grain").parquet(totals_path)
-    saved = spark.read.parquet(totals_path)
-    for key, df in gold.gold_tables(saved, k).items():
-        df.write.mode("overwrite").parquet(layout.gold_table(key))
+    with pinned(spark):
+        rows = layers.read_silver(spark, layout.silver)  # missing silver is an error
+        if from_partials:
+            whole = gold.merge_totals(read_files(spark, PARTIALS_SCHEMA, layout.gold_partials))
+        else:
+            whole = gold.totals(rows)
+        whole.write.mode("overwrite").partitionBy("grain").parquet(layout.gold_totals)
+        saved = read_files(spark, TOTALS_SCHEMA, layout.gold_totals)
+        for key, df in gold.gold_tables(saved, k).items():
+            df.write.mode("overwrite").parquet(layout.gold_table(key))
 
 
 def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {k: spark.read.schema(ddl).parquet(layout.gold_table(k)) for k, ddl in GOLD_DDL.items()}
+    """The four published tables; empty before the first build."""
+    return {k: read_files(spark, ddl, layout.gold_table(k), empty_if_missing=True) for k, ddl in GOLD_DDL.items()}
+
+
+def _gold_built(spark: SparkSession, layout: Layout) -> bool:
+    try:
+        read_files(spark, TOTALS_SCHEMA, layout.gold_totals)
+        for key, ddl in GOLD_DDL.items():
+            read_files(spark, ddl, layout.gold_table(key))
+    except FileNotFoundError:
+        return False
+    return True
 
 
 def run_increment(spark: SparkSession, layout: Layout) -> dict:
-    """One increment end to end in one session: bronze, silver, gold."""
+    """One increment end to end in one session: bronze, silver, gold.
+
+    Gold is not rebuilt if silver got no new file since it was built.
+    """
     b = ingest_bronze(spark, layout)
     s = transform_silver(spark, layout)
-    build_gold(spark, layout)
+    if s["files"] or not _gold_built(spark, layout):
+        build_gold(spark, layout)
     return {"bronze": b, "silver": s}
 
 
 def preview(spark: SparkSession, layout: Layout) -> DataFrame:
     """What ``run_increment`` would do, computed without writing anything.
 
-    Returns ``(metric, value)`` rows: new files, bronze rows they hold, rows
-    that pass silver validation, and the row count of each gold table after
-    the run.  One scan of the new files; the current state comes from the
-    per-file gold partials, not from silver.
+    Returns ``(metric, value)`` rows: new files, bronze rows they hold, rows that
+    will reach silver (from these files and from those waiting in bronze), and the
+    row count of each gold table after the run.  One pass over the new rows; the
+    current state comes from the per-file gold totals, not from silver.
     """
-    configure(spark)
-    init_layout(spark, layout)
-    new_files = new_landing_files(spark, layout).agg(F.count(F.lit(1)).alias("new_files"))
-    checked = silver.with_reject_reason(layers.to_bronze(new_landing_rows(spark, layout)))
-    new_counts = checked.agg(
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.count_if(F.col("reject_reason").isNull()).alias("silver_rows"),
-    )
-    kept = silver.clean(checked.where(F.col("reject_reason").isNull()).drop("reject_reason"))
-    # Gold keys after the run = keys already in the per-file partials plus the
-    # keys of the rows about to be added: no scan of silver itself.
-    keys = ["grain", *gold.GRAIN_KEYS]
-    current = spark.read.schema(PARTIALS_SCHEMA).parquet(layout.gold_partials).select(*keys)
-    upcoming = gold.totals(kept).select(*keys)
-    grain = F.col("grain")
-    is_product = ~F.col("StockCode").isin(list(NON_PRODUCT_STOCK_CODES))
-    gold_counts = current.unionByName(upcoming).distinct().agg(
-        F.count_if(grain == "weekly").alias("weekly_rows"),
-        F.least(F.lit(TOP_K), F.count_if((grain == "product") & is_product)).cast("bigint").alias(
-            "top_products_rows"
-        ),
-        F.least(F.lit(TOP_K), F.count_if((grain == "customer") & F.col("CustomerID").isNotNull()))
-        .cast("bigint")
-        .alias("top_customers_rows"),
-        F.count_if(grain == "country").alias("country_rows"),
-    )
-    parts = [new_files, new_counts, gold_counts]
-    long = [p.unpivot([], p.columns, "metric", "value") for p in parts]
-    return long[0].unionByName(long[1]).unionByName(long[2])
+    with pinned(spark):
+        new_files = new_landing_files(spark, layout).agg(F.count(F.lit(1)).alias("new_files"))
+        arriving = layers.to_bronze(new_landing_rows(spark, layout)).withColumn("is_new", F.lit(True))
+        try:
+            waiting = unprocessed_bronze_rows(spark, layout)
+        except FileNotFoundError:  # nothing ingested yet
+            waiting = spark.createDataFrame([], layers.BRONZE_SCHEMA)
+        rows = arriving.unionByName(waiting.withColumn("is_new", F.lit(False)))
+        known = read_files(spark, PARTIALS_SCHEMA, layout.gold_partials, empty_if_missing=True)
+        counts = gold.stage_counts(silver.with_reject_reason(rows), known).drop("rows").withColumnRenamed("new_rows", "bronze_rows")
+        long = [p.unpivot([], p.columns, "metric", "value") for p in (new_files, counts)]
+        return long[0].unionByName(long[1])
 
 
 def date_gate(df: DataFrame) -> DataFrame:
@@ -308,18 +324,32 @@ def date_gate(df: DataFrame) -> DataFrame:
     )
 
 
+_REFUSED = "no known layout for an InvoiceDate"
+
+
 def split_monthly(spark: SparkSession, history: DataFrame, landing_root: str) -> int:
     """Split a full sales history into one landing entry per calendar month.
 
-    Refuses (ValueError) when any InvoiceDate cannot be parsed.  One
-    partitioned write, not one job per month.  Returns the number of rows.
+    Refuses (ValueError) when any InvoiceDate cannot be parsed: the writing pass
+    itself fails at such a row, and nothing is committed.  A month that is already
+    there is replaced, so a repeated split changes nothing.  Returns the number
+    of rows.
     """
-    gate = date_gate(history).first()
-    if gate["bad_dates"]:
-        raise ValueError(f"Found {gate['bad_dates']:,} rows with invalid InvoiceDate values")
-    labelled = history.withColumn(SOURCE_FILE, month_file_name(parse_invoice_timestamp("InvoiceDate")))
-    landing.write_csv(labelled, landing_root)
-    return gate["rows"]
+    with pinned(spark):
+        if history.isEmpty():
+            return 0
+        when = parse_invoice_timestamp("InvoiceDate")
+        label = F.when(when.isNull(), F.raise_error(F.lit(_REFUSED))).otherwise(month_file_name(when))
+        seen = Observation("split")
+        rows = history.withColumn(SOURCE_FILE, label).observe(seen, F.count(F.lit(1)).alias("rows"))
+        try:
+            landing.write_csv(rows, landing_root, replace=True)
+        except PySparkException as err:
+            if _REFUSED not in str(err):
+                raise
+            bad = date_gate(history).first()["bad_dates"]
+            raise ValueError(f"{bad:,} rows have an InvoiceDate in no known layout; nothing was split") from err
+        return seen.get["rows"]
 
 
 def published_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -343,3 +373,31 @@ def register_views(spark: SparkSession, layout: Layout, prefix: str = "") -> lis
         df.createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names
+
+
+def publish_tables(spark: SparkSession, layout: Layout, database: str) -> list[str]:
+    """Create the database and its eight tables in the session's catalog if absent.
+
+    The tables are external: they point at the pipeline's folders, so a later
+    increment shows in them (bronze and silver partitions after publishing again).
+    Returns the qualified names.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    paths = {
+        "bronze_online_retail": (layout.bronze, layers.BRONZE_SCHEMA, True),
+        "silver_online_retail": (layout.silver, layers.SILVER_SCHEMA, True),
+        "bronze_processed_files": (layout.bronze_ledger, ledger.LEDGER_SCHEMA, False),
+        "silver_processed_files": (layout.silver_ledger, ledger.LEDGER_SCHEMA, False),
+    } | {GOLD_TABLE_NAMES[key]: (layout.gold_table(key), ddl, False) for key, ddl in GOLD_DDL.items()}
+    names = []
+    for table, (path, schema, partitioned) in paths.items():
+        name = f"`{database}`.`{table}`"
+        columns = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f" PARTITIONED BY (`{SOURCE_FILE}`)" if partitioned else ""
+        location = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by} LOCATION '{location}'")
+        if partitioned:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+        names.append(name)
+    return names

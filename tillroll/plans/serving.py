@@ -1,36 +1,16 @@
 """Serving queries over the gold tables (what a dashboard runs).
 
-Stored row order is not a contract, so every serving query sorts again.
-Tables are bound as DataFrame parameters of ``spark.sql``; no global view is
-registered.
+Stored row order is not a contract, so every serving query sorts again, with the
+table's keys after the ranked column.  Tables are bound as DataFrame parameters of
+``spark.sql``; no global view is registered.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SERVING_SQL = {
-    "weekly_revenue": """
-        SELECT WeekStartDate, WeeklyRevenue
-        FROM {gold_weekly_revenue}
-        ORDER BY WeekStartDate
-    """,
-    "top_products": """
-        SELECT StockCode, Description, TotalRevenue, TotalQuantitySold
-        FROM {gold_top_5_products_by_revenue}
-        ORDER BY TotalRevenue DESC
-    """,
-    "top_customers": """
-        SELECT CustomerID, TotalRevenue
-        FROM {gold_top_5_customers_by_revenue}
-        ORDER BY TotalRevenue DESC
-    """,
-    "revenue_by_country": """
-        SELECT Country, TotalRevenue
-        FROM {gold_revenue_by_country}
-        ORDER BY TotalRevenue DESC
-    """,
-}
+from tillroll.operators.gold import GRAINS, TABLES
+from tillroll.schemas import GOLD_DDL
 
 # Published table name of each gold table.
 GOLD_TABLE_NAMES = {
@@ -41,24 +21,33 @@ GOLD_TABLE_NAMES = {
 }
 
 
-def serve(spark: SparkSession, which: str, gold: dict[str, DataFrame]) -> DataFrame:
-    """Run the serving query ``which`` against gold tables given by key."""
-    params = {GOLD_TABLE_NAMES[k]: df for k, df in gold.items() if GOLD_TABLE_NAMES[k] in SERVING_SQL[which]}
-    return spark.sql(SERVING_SQL[which], **params)
+def _serving_sql(key: str) -> str:
+    columns = [c.split()[0] for c in GOLD_DDL[key].split(", ")]
+    keys = ", ".join(f"{k} NULLS LAST" for k in GRAINS[TABLES[key][0]])
+    order = keys if key == "weekly_revenue" else f"TotalRevenue DESC, {keys}"
+    return f"SELECT {', '.join(columns)} FROM {{{GOLD_TABLE_NAMES[key]}}} ORDER BY {order}"
 
 
-# Row-count checks over every pipeline table (the manual checks run after
-# each increment).
-TABLE_COUNTS_SQL = """
-    SELECT 'bronze_online_retail' AS table_name, COUNT(*) AS rows FROM {bronze_online_retail}
-    UNION ALL SELECT 'silver_online_retail', COUNT(*) FROM {silver_online_retail}
-    UNION ALL SELECT 'bronze_processed_files', COUNT(*) FROM {bronze_processed_files}
-    UNION ALL SELECT 'silver_processed_files', COUNT(*) FROM {silver_processed_files}
-    UNION ALL SELECT 'gold_weekly_revenue', COUNT(*) FROM {gold_weekly_revenue}
-    UNION ALL SELECT 'gold_top_5_products_by_revenue', COUNT(*) FROM {gold_top_5_products_by_revenue}
-    UNION ALL SELECT 'gold_top_5_customers_by_revenue', COUNT(*) FROM {gold_top_5_customers_by_revenue}
-    UNION ALL SELECT 'gold_revenue_by_country', COUNT(*) FROM {gold_revenue_by_country}
-"""
+SERVING_SQL = {key: _serving_sql(key) for key in GOLD_DDL}
+
+# The eight tables of a pipeline.
+TABLE_NAMES = [
+    "bronze_online_retail",
+    "silver_online_retail",
+    "bronze_processed_files",
+    "silver_processed_files",
+    *GOLD_TABLE_NAMES.values(),
+]
+
+# Row-count checks over every table (the manual checks run after each increment).
+TABLE_COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS rows FROM {{{name}}}" for name in TABLE_NAMES
+)
+
+
+def serve(spark: SparkSession, which: str, gold: dict[str, DataFrame]) -> DataFrame:
+    """Run the serving query ``which`` against gold tables given by key."""
+    return spark.sql(SERVING_SQL[which], **{GOLD_TABLE_NAMES[which]: gold[which]})
 
 
 def table_counts(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:

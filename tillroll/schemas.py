@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- fixed values -----------------------------------------------------------
 # Landing / raw columns, in file order.  Columns bind by position; the header
 # text of a landing file is ignored.
 RAW_COLUMNS = [
@@ -17,6 +18,20 @@ RAW_COLUMNS = [
     "Country",
 ]
 
+# Audit columns of bronze and silver.
+SOURCE_FILE = "_source_file"
+INGESTED_AT = "_ingested_at_utc"
+SILVER_PROCESSED_AT = "_silver_processed_at_utc"
+
+# Published gold schemas.
+GOLD_DDL = {
+    "weekly_revenue": "WeekStartDate DATE, WeeklyRevenue DOUBLE",
+    "top_products": "StockCode STRING, Description STRING, TotalRevenue DOUBLE, TotalQuantitySold BIGINT",
+    "top_customers": "CustomerID STRING, TotalRevenue DOUBLE",
+    "revenue_by_country": "Country STRING, TotalRevenue DOUBLE",
+}
+# -----------------------------------------------------------------------------
+
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
 # CSV reader schema: the raw columns plus a catch-all for malformed lines.
@@ -25,15 +40,13 @@ RAW_READ_SCHEMA = T.StructType(
     RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
 )
 
-SOURCE_FILE = "_source_file"
-INGESTED_AT = "_ingested_at_utc"
-SILVER_PROCESSED_AT = "_silver_processed_at_utc"
-
 BRONZE_COLUMNS = RAW_COLUMNS + [CORRUPT_COLUMN, INGESTED_AT, SOURCE_FILE]
 
-# Money is exact inside the pipeline and published as DOUBLE in gold.
-PRICE_TYPE = "decimal(18,4)"
-REVENUE_TYPE = "decimal(18,2)"
+# Money is exact inside the pipeline and published as DOUBLE in gold.  A price keeps
+# 17 digits before and 10 after the point; times an INT quantity that is the widest
+# product Spark holds without cutting decimals.  Only the product is rounded.
+PRICE_TYPE = T.DecimalType(27, 10)
+REVENUE_TYPE = T.DecimalType(28, 2)
 
 SILVER_COLUMNS = [
     "InvoiceNo",
@@ -89,18 +102,6 @@ CANCELLED_PREFIX = "C"
 # None means Spark's default timestamp text form (ISO-8601 variants).
 TIMESTAMP_LAYOUTS = (None, "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm")
 
-# Landing file names and the name of a month's file.
-LANDING_GLOB = "sales_*.csv"
-MONTH_FILE_FORMAT = "sales_%d_%02d.csv"
-
 # Rows kept in each ranking table.
 TOP_K = 5
 # -----------------------------------------------------------------------------
-
-# Published gold schemas (DDL strings, for empty-table creation and docs).
-GOLD_WEEKLY_DDL = "WeekStartDate DATE, WeeklyRevenue DOUBLE"
-GOLD_PRODUCTS_DDL = (
-    "StockCode STRING, Description STRING, TotalRevenue DOUBLE, TotalQuantitySold BIGINT"
-)
-GOLD_CUSTOMERS_DDL = "CustomerID STRING, TotalRevenue DOUBLE"
-GOLD_COUNTRY_DDL = "Country STRING, TotalRevenue DOUBLE"

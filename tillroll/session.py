@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Week boundaries, timestamp parsing and date labels are defined in UTC.
-SESSION_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+# Week boundaries, timestamp parsing and date labels are defined in UTC.  Spark
+# resolves the zone into an expression when a DataFrame is built, so it is enough
+# to pin it while a job or query is put together (see ``pinned``).
+PINNED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+# Settings of the sessions that tests and the bench start themselves.
+LOCAL_CONF = {
+    **PINNED_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -23,12 +30,21 @@ SESSION_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings every job here assumes (idempotent)."""
-    for key, value in SESSION_CONF.items():
-        if spark.conf.get(key, None) != value:
+@contextmanager
+def pinned(spark: SparkSession) -> Iterator[SparkSession]:
+    """Hold PINNED_CONF inside the block; the caller's settings come back after it."""
+    before = {key: spark.conf.get(key, None) for key in PINNED_CONF}
+    for key, value in PINNED_CONF.items():
+        if before[key] != value:
             spark.conf.set(key, value)
-    return spark
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            elif value != PINNED_CONF[key]:
+                spark.conf.set(key, value)
 
 
 def local_session(app: str = "tillroll", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -42,11 +58,11 @@ def local_session(app: str = "tillroll", cores: str = "*", shuffle_partitions: i
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in SESSION_CONF.items():
+    for key, value in LOCAL_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -3,17 +3,18 @@
 A landing entry is named ``sales_YYYY_MM.csv``.  It is either a plain file (as
 an external producer drops it) or a folder of part files as Spark's own CSV
 writer produces (our monthly split writes ``file=sales_YYYY_MM.csv/part-…``).
-Both layouts are matched by one glob and labelled by one regular expression.
+Both layouts are matched by one glob and labelled by one rule.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from tillroll.functions.naming import landing_label
-from tillroll.schemas import CORRUPT_COLUMN, RAW_READ_SCHEMA, SOURCE_FILE
+from tillroll.functions.naming import landing_label, plain_path
+from tillroll.schemas import CORRUPT_COLUMN, RAW_COLUMNS, RAW_READ_SCHEMA, SOURCE_FILE
+from tillroll.sources.tables import is_missing
 
 # Partition column our split writes; its folders are landing entries too.
 SPLIT_COLUMN = "file"
@@ -38,6 +39,9 @@ CSV_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# What the ``binaryFile`` source yields; its content is never selected here.
+LISTING_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 LISTING_COLUMNS = "source_file STRING, path STRING, length BIGINT, modificationTime TIMESTAMP"
 
 
@@ -45,10 +49,6 @@ def landing_glob(landing_root: str, pattern: str = LANDING_PATTERN) -> str:
     return f"{landing_root.rstrip('/')}/{pattern}"
 
 
-def _missing(err: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
-
-
 def list_files(spark: SparkSession, landing_root: str, pattern: str = LANDING_PATTERN) -> DataFrame:
     """Data files of every landing entry, one row per file (content not read).
 
@@ -58,15 +58,15 @@ def list_files(spark: SparkSession, landing_root: str, pattern: str = LANDING_PA
     try:
         files = spark.read.format("binaryFile").load(landing_glob(landing_root, pattern))
     except AnalysisException as err:
-        if not _missing(err):
+        if not is_missing(err):
             raise
         # No entry matches: fine for an existing (empty) landing folder, an
         # error when the folder itself is missing.
         try:
             spark.read.format("binaryFile").load(landing_root)
         except AnalysisException as root_err:
-            if _missing(root_err):
-                raise FileNotFoundError(f"Missing landing folder: {landing_root}") from root_err
+            if is_missing(root_err):
+                raise FileNotFoundError(f"No landing zone at {landing_root}") from root_err
             raise
         return spark.createDataFrame([], LISTING_COLUMNS)
     return files.select(
@@ -89,7 +89,8 @@ def list_landing(spark: SparkSession, landing_root: str, pattern: str = LANDING_
 
 def entry_path(landing_root: str, name: str) -> str:
     """Glob that matches the landing entry ``name`` in either layout."""
-    return f"{landing_root.rstrip('/')}/{{{name},{SPLIT_COLUMN}={name}}}"
+    plain = "".join(f"\\{c}" if c in "\\{}[]*?,^" else c for c in name)
+    return f"{landing_root.rstrip('/')}/{{{plain},{SPLIT_COLUMN}={plain}}}"
 
 
 def read_csv(spark: SparkSession, paths) -> DataFrame:
@@ -100,22 +101,19 @@ def read_csv(spark: SparkSession, paths) -> DataFrame:
     and flagged in ``_corrupt``.
     """
     df = spark.read.schema(RAW_READ_SCHEMA).options(**CSV_READ_OPTIONS).csv(paths)
-    return df.withColumn(SOURCE_FILE, landing_label(F.col("_metadata.file_path")))
+    return df.withColumn(SOURCE_FILE, landing_label(plain_path("_metadata.file_path")))
 
 
-def write_csv(df: DataFrame, landing_root: str, label_col: str = SOURCE_FILE, mode: str = "append") -> None:
+def write_csv(df: DataFrame, landing_root: str, label_col: str = SOURCE_FILE, replace: bool = False) -> None:
     """Write rows as landing entries, one folder per value of ``label_col``.
 
-    ``REBALANCE`` on the label lets AQE split a label that holds a large share
-    of the rows over several writer tasks (several part files) instead of one.
+    ``replace``: entries that ``df`` has rows for are replaced, others stay;
+    otherwise files are added.  ``REBALANCE`` on the label lets AQE split a label
+    that holds a large share of the rows over several writer tasks (several part
+    files) instead of one.
     """
-    from tillroll.schemas import RAW_COLUMNS
-
-    out = df.select(*RAW_COLUMNS, F.col(label_col).alias(SPLIT_COLUMN))
-    (
-        out.hint("rebalance", SPLIT_COLUMN)
-        .write.mode(mode)
-        .partitionBy(SPLIT_COLUMN)
-        .options(**CSV_WRITE_OPTIONS)
-        .csv(landing_root)
-    )
+    out = df.select(*RAW_COLUMNS, F.col(label_col).alias(SPLIT_COLUMN)).hint("rebalance", SPLIT_COLUMN)
+    writer = out.write.mode("overwrite" if replace else "append")
+    if replace:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(SPLIT_COLUMN).options(**CSV_WRITE_OPTIONS).csv(landing_root)

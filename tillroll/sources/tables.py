@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -25,3 +26,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         _OPENED[key] = hit
     return hit
 
+
+def is_missing(err: AnalysisException) -> bool:
+    """Whether Spark reports that no file is at the path."""
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_files(spark: SparkSession, schema, *paths: str, empty_if_missing: bool = False, **options: str) -> DataFrame:
+    """Parquet files under an explicit schema.
+
+    A path without files is a FileNotFoundError, or an empty table if asked for.
+    """
+    try:
+        return spark.read.schema(schema).options(**options).parquet(*paths)
+    except AnalysisException as err:
+        if not is_missing(err):
+            raise
+        if empty_if_missing:
+            return spark.createDataFrame([], schema)
+        raise FileNotFoundError(f"Nothing has been written to {', '.join(paths)} yet") from err

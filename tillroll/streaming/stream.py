@@ -1,15 +1,15 @@
 """The pipeline as chained Structured Streaming queries.
 
-landing (CSV file source) -> bronze (Parquet file sink)
-bronze (Parquet file source) -> silver (Parquet file sink)
-silver (Parquet file source) -> weekly revenue (event-time window)
-
-The file source's checkpoint plays the role of the ledger: a file is read
-once, a rerun of the same checkpoint reads nothing new.  The Parquet file sink
-commits each micro-batch through its metadata log, so a retried batch never
-adds a second copy, and readers of a sink folder see committed batches only.
-All operators are stateless except the weekly window, whose state is one row
-per open week.
+landing (file listing)  -> bronze + bronze ledger
+bronze ledger (Parquet) -> silver + silver ledger
+silver ledger (Parquet) -> weekly revenue, from the per-file totals
+silver (Parquet)        -> weekly revenue of closed weeks (event-time window)
+
+The first three streams carry names of source files, and each micro-batch runs the
+batch step on them (``foreachBatch``).  So stream and batch share one state, the
+layers and their ledgers: either may go on where the other stopped, and a retried
+micro-batch replaces a file's partition instead of adding to it.  A ledger gets a
+file's name after its data, which makes it a change feed of complete files.
 """
 
 from __future__ import annotations
@@ -18,69 +18,100 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.operators import silver
-from tillroll.operators.bronze import BRONZE_SCHEMA, SILVER_SCHEMA, to_bronze
-from tillroll.schemas import BRONZE_COLUMNS, RAW_READ_SCHEMA, SILVER_COLUMNS, SOURCE_FILE
-from tillroll.session import configure
-from tillroll.sources.landing import CSV_READ_OPTIONS, landing_glob
 from tillroll.functions.naming import landing_label
+from tillroll.operators import gold
+from tillroll.operators.bronze import SILVER_SCHEMA
+from tillroll.plans import pipeline
+from tillroll.plans.pipeline import Layout
+from tillroll.schemas import LEDGER_SCHEMA, SILVER_COLUMNS
+from tillroll.session import pinned
+from tillroll.sources.landing import LISTING_SCHEMA, landing_glob
+from tillroll.sources.tables import read_files
 
 # A week window aligned on Mondays: the epoch (1970-01-01) is a Thursday.
 WEEK = "7 days"
 MONDAY_OFFSET = "4 days"
 
+# The file sources pass over files older than this (against the newest file seen);
+# Spark's default of a week would lose backfills and preserved file times.
+NO_AGE_LIMIT = {"maxFileAge": "100000d"}
 
-def _start(df: DataFrame, checkpoint: str, trigger: dict | None):
-    """Writer with its checkpoint; the default trigger drains what is there."""
-    w = df.writeStream.option("checkpointLocation", checkpoint)
-    return w, (trigger or {"availableNow": True})
+_DRAIN = {"availableNow": True}
+
+
+def _file_stream(spark: SparkSession, max_files_per_trigger: int | None = None):
+    reader = spark.readStream.options(**NO_AGE_LIMIT)
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader
 
 
 def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New landing files as a stream of raw rows with ``_source_file``."""
-    reader = spark.readStream.schema(RAW_READ_SCHEMA).options(**CSV_READ_OPTIONS)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.csv(landing_glob(landing_root))
-    return rows.withColumn(SOURCE_FILE, landing_label(F.col("_metadata.file_path")))
-
-
-def start_bronze(
-    spark: SparkSession,
-    landing_root: str,
-    bronze_path: str,
-    checkpoint: str,
-    max_files_per_trigger: int | None = None,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    configure(spark)
-    out = to_bronze(landing_stream(spark, landing_root, max_files_per_trigger))
-    w, trig = _start(out, checkpoint, trigger)
-    return w.format("parquet").partitionBy(SOURCE_FILE).trigger(**trig).start(bronze_path)
-
-
-def bronze_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(bronze_path).select(*BRONZE_COLUMNS)
-
-
-def start_silver(
-    spark: SparkSession,
-    bronze_path: str,
-    silver_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    configure(spark)
-    out = silver.clean(bronze_stream(spark, bronze_path))
-    w, trig = _start(out, checkpoint, trigger)
-    return w.format("parquet").partitionBy(SOURCE_FILE).trigger(**trig).start(silver_path)
+    """Names of landing entries as their files appear (listing only, content not read)."""
+    files = _file_stream(spark, max_files_per_trigger).format("binaryFile").schema(LISTING_SCHEMA).load(landing_glob(landing_root))
+    return files.select(landing_label("path").alias("source_file"))
+
+
+def ledger_stream(spark: SparkSession, ledger_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Names of source files as a layer completes them."""
+    return _file_stream(spark, max_files_per_trigger).schema(LEDGER_SCHEMA).parquet(ledger_path).select("source_file")
+
+
+def _start(df: DataFrame, checkpoint: str, step, trigger: dict | None) -> StreamingQuery:
+    """A query that runs ``step`` on each micro-batch of names."""
+    return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step).trigger(**(trigger or _DRAIN)).start()
+
+
+def start_bronze(spark: SparkSession, layout: Layout, checkpoint: str, max_files_per_trigger: int | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Ingest landing entries as they appear.
+
+    An entry is read whole when its first file is seen, as in the batch step.
+    """
+
+    def step(batch: DataFrame, _epoch: int) -> None:
+        # At most maxFilesPerTrigger names, or the listing of one trigger.
+        names = [r[0] for r in batch.distinct().collect()]
+        for at in range(0, len(names), pipeline.MAX_FILES_PER_ROUND):
+            pipeline.ingest_files(batch.sparkSession, layout, names[at : at + pipeline.MAX_FILES_PER_ROUND])
+
+    with pinned(spark):
+        pipeline.init_layout(spark, layout)
+        return _start(landing_stream(spark, layout.landing, max_files_per_trigger), checkpoint, step, trigger)
+
+
+def start_silver(spark: SparkSession, layout: Layout, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Clean source files as bronze completes them."""
+
+    def step(batch: DataFrame, _epoch: int) -> None:
+        if not batch.isEmpty():
+            pipeline.transform_silver(batch.sparkSession, layout)
+
+    with pinned(spark):
+        return _start(ledger_stream(spark, layout.bronze_ledger), checkpoint, step, trigger)
+
+
+def start_weekly(spark: SparkSession, layout: Layout, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the weekly table current as silver completes files.
+
+    Added up from the per-file totals, so a file counts once however often a
+    round was retried.
+    """
+
+    def step(batch: DataFrame, _epoch: int) -> None:
+        if not batch.isEmpty():
+            partials = read_files(batch.sparkSession, pipeline.PARTIALS_SCHEMA, layout.gold_partials)
+            weekly = gold.gold_table(gold.merge_totals(partials.where("grain = 'weekly'")), "weekly_revenue")
+            weekly.write.mode("overwrite").parquet(layout.gold_table("weekly_revenue"))
+
+    with pinned(spark):
+        return _start(ledger_stream(spark, layout.silver_ledger), checkpoint, step, trigger)
 
 
 def silver_stream(spark: SparkSession, silver_path: str) -> DataFrame:
-    return spark.readStream.schema(SILVER_SCHEMA).parquet(silver_path).select(*SILVER_COLUMNS)
+    """Silver rows as their files appear.
+
+    A partition that a retried round replaces appears again; sums over this stream
+    count it again, which is why ``start_weekly`` does not use it.
+    """
+    return _file_stream(spark).schema(SILVER_SCHEMA).parquet(silver_path).select(*SILVER_COLUMNS)
 
 
 def weekly_revenue_stream(silver_rows: DataFrame, late_delay: str | None = None) -> DataFrame:
@@ -101,40 +132,24 @@ def weekly_revenue_stream(silver_rows: DataFrame, late_delay: str | None = None)
     )
 
 
-def start_weekly(
-    spark: SparkSession,
-    silver_path: str,
-    out_path: str,
-    checkpoint: str,
-    mode: str = "complete",
-    late_delay: str | None = None,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Maintain the weekly table at ``out_path``.
-
-    ``complete``: every micro-batch rewrites the whole (small, one row per
-    week) table.  ``append``: finalised weeks are appended through the
-    exactly-once file sink (needs ``late_delay``).
-    """
-    configure(spark)
-    out = weekly_revenue_stream(silver_stream(spark, silver_path), late_delay)
-    w, trig = _start(out, checkpoint, trigger)
-    if mode == "append":
-        if not late_delay:
-            raise ValueError("append mode needs a late_delay (watermark)")
-        return w.outputMode("append").format("parquet").trigger(**trig).start(out_path)
-
-    def overwrite(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
-
-    return w.outputMode("complete").foreachBatch(overwrite).trigger(**trig).start()
+def start_closed_weeks(spark: SparkSession, layout: Layout, out_path: str, checkpoint: str, late_delay: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append each week to ``out_path`` once the watermark has passed its end."""
+    with pinned(spark):
+        out = weekly_revenue_stream(silver_stream(spark, layout.silver), late_delay)
+        writer = out.writeStream.option("checkpointLocation", checkpoint).outputMode("append").format("parquet")
+        return writer.trigger(**(trigger or _DRAIN)).start(out_path)
 
 
 def run_to_end(query: StreamingQuery, timeout_s: int | None = None) -> None:
-    """Wait for an ``availableNow`` query to drain its input; re-raise failures."""
+    """Wait for an ``availableNow`` query to drain its input; re-raise failures.
+
+    If the time is up before, the query is stopped and TimeoutError raised: what
+    is there is not the whole input.
+    """
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
+        raise TimeoutError(f"the stream had not drained its input after {timeout_s} s")
     err = query.exception()
     if err is not None:
         raise RuntimeError(str(err))
