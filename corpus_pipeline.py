@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: the ids of each document, and the digest of the text they decode to."""
-    return piece_tokens.encoded(docs)
+    return piece_tokens.encode(docs)
 
 
 STAGES = [

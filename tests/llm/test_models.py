@@ -34,7 +34,7 @@ def test_decode_is_the_inverse(documents):
     back = piece_tokens.decode(piece_tokens.encode(docs))
     want = sorted((str(d), (t or "").replace("▁", " ")) for d, t, *_ in rows)
     assert sorted((str(r.doc_id), r.text) for r in back.collect()) == want
-    out = piece_tokens.encoded(docs)
+    out = piece_tokens.encode(docs)
     sha = {str(r.doc_id) + str(r.text_sha256) for r in out.collect()}
     texts = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("s")).collect()
     assert sha == {str(r.doc_id) + r.s for r in texts}

@@ -35,10 +35,12 @@ from tillroll.llm.common import settle
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 32_768
 # Characters of text in one pass; units kept solved between passes; longest unit of a pass.
-PASS_CHARS = 1 << 21
-MEMO_UNITS = 300_000
+PASS_CHARS = 1 << 20
+MEMO_UNITS = 200_000
 LOCKSTEP_CHARS = 48
 
+_RESULT = "n_tokens long, ids array<int>, text_sha256 string"
+
 BLANK = "▁"  # how a model's pieces write a blank
 _LOW = -(1 << 60)
 _SLOT_BITS = 20
@@ -373,8 +375,17 @@ def _surface(vocabulary: Vocabulary, ids) -> bytes:
     return b"".join([vocabulary.surface[i] for i in ids])[1:]
 
 
+def _rows(vocabulary: Vocabulary, doc_ids: pa.Array, packed: list[bytes]) -> pa.Table:
+    """Result rows: ids, their number, and the digest of the text they decode to."""
+    ids = [np.frombuffer(p, vocabulary.code) for p in packed]
+    digests = [hashlib.sha256(_surface(vocabulary, i.tolist())).hexdigest() for i in ids]
+    sizes = pa.array([len(i) for i in ids], pa.int64())
+    return pa.table({"doc_id": doc_ids, "n_tokens": sizes, "ids": _id_lists(packed, vocabulary.code), "text_sha256": pa.array(digests, pa.string())})
+
+
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``doc_id`` and ``ids`` (array of int) for every row of ``docs``.
+    """``doc_id``, ``n_tokens``, ``ids`` (array of int) and ``text_sha256`` for every
+    row of ``docs``; the digest is of the text that is decoded from ``ids``.
 
     Defined cases: null and empty texts have no ids; the sign U+2581 counts as a
     blank, as in any SentencePiece model; a character that is no piece becomes its
@@ -397,12 +408,10 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk_chars: int = CHU
                     size += len(texts[high])
                     high += 1
                 packed = segmenter.encode(texts[low:high])
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(low, high - low), _id_lists(packed, vocabulary.code)], names=["doc_id", "ids"]
-                )
+                yield from _rows(vocabulary, batch["doc_id"].slice(low, high - low), packed).to_batches()
                 low = high
 
-    solved = rows.where(F.char_length("text") <= chunk_chars).mapInArrow(small, f"doc_id {kind}, ids array<int>")
+    solved = rows.where(F.char_length("text") <= chunk_chars).mapInArrow(small, f"doc_id {kind}, {_RESULT}")
     return solved.unionByName(_giants(rows.where(F.char_length("text") > chunk_chars), vocabulary, kind, chunk_chars))
 
 
@@ -480,20 +489,21 @@ def _giants(rows: DataFrame, vocabulary: Vocabulary, kind: str, chunk_chars: int
         for chunk in range(max(c for c, _ in found), -1, -1):
             state, own = found[chunk, state]
             parts.append(own)
-        return pa.table({"key": table["key"].slice(0, 1), "doc_id": table["doc_id"].slice(0, 1), "ids": _id_lists([b"".join(reversed(parts))], vocabulary.code)})
+        out = _rows(vocabulary, table["doc_id"].slice(0, 1), [b"".join(reversed(parts))])
+        return out.add_column(0, "key", table["key"].slice(0, 1))
 
     whole = (
         chunks.join(scores, ["key", "chunk"])
         .select("doc_id", "key", "chunk", "size", "text", "scores")
         .mapInArrow(backtrace, f"doc_id {kind}, key string, chunk int, exit int, entry int, ids binary")
         .groupBy("key")
-        .applyInArrow(join, f"key string, doc_id {kind}, ids array<int>")
+        .applyInArrow(join, f"key string, doc_id {kind}, {_RESULT}")
     )
-    return whole.join(copies, "key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc_id", "ids")
+    return whole.join(copies, "key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("key", "copies", "copy")
 
 
 def decode(rows: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """``rows`` (``doc_id``, ``ids``) with ``text``, the exact inverse of ``encode``.
+    """``rows`` with ``text``, decoded from ``ids``: the exact inverse of ``encode``.
 
     Null or empty ids give an empty text.  All columns of ``rows`` but ``ids`` and
     any earlier ``text`` are kept.
@@ -508,23 +518,3 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
     return rows.select(*kept, "ids").mapInArrow(run, f"{schema}, text string")
-
-
-def encoded(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` and ``text_sha256``, the digest of the text decoded from ``ids``."""
-    vocabulary = Vocabulary.load(model_file)
-    rows = encode(docs, model_file)
-
-    def run(batches):
-        for batch in batches:
-            values, ends = np.asarray(batch["ids"].flatten()), np.asarray(batch["ids"].offsets)
-            ends = ends - ends[0]
-            digests = [hashlib.sha256(_surface(vocabulary, values[a:b].tolist())).hexdigest() for a, b in zip(ends, ends[1:])]
-            sizes = np.diff(ends)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes.astype(np.int64)), batch["ids"], pa.array(digests)],
-                names=["doc_id", "n_tokens", "ids", "text_sha256"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>, text_sha256 string")

@@ -53,7 +53,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_tokens.encoded(read_table(spark, sf_dir, "documents"))
+    return piece_tokens.encode(read_table(spark, sf_dir, "documents"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
