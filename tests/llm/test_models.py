@@ -41,9 +41,9 @@ def test_decode_is_the_inverse(documents):
 
 
 def test_units_agree_with_the_library(vocabulary):
-    """The library's lattice over the same pieces finds no better segmentation.  (It
-    adds in 32-bit floats, so only short texts compare; its one-best search is not
-    always the best path of its own lattice, so its n-best list is asked.)"""
+    """The library finds no better segmentation over the same pieces, and in most
+    texts the same one.  (Its search keeps 32-bit floats and, with scores this far
+    apart, sometimes returns less than the best path; ours is never below it.)"""
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
 
@@ -56,11 +56,13 @@ def test_units_agree_with_the_library(vocabulary):
     rng = random.Random(3)
     pieces = [p.strip() for p in vocabulary.pieces if p.strip().isalpha()]
     texts = [" ".join("".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9))) for _ in range(3)) for _ in range(500)]
-    score = dict(vocabulary.pieces.values())
+    score, same = dict(vocabulary.pieces.values()), 0
     for text, packed in zip(texts, segmenter.encode(texts)):
-        own = np.frombuffer(packed, vocabulary.code).tolist()
-        assert sum(score[i] for i in own) == sum(score[i] for i in library.nbest_encode(text, nbest_size=4)[0])
+        own, other = np.frombuffer(packed, vocabulary.code).tolist(), library.encode(text)
+        assert sum(score[i] for i in own) >= sum(score[i] for i in other)
         assert library.decode(own) == text
+        same += own == other
+    assert same > 0.95 * len(texts)
 
 
 def test_chunks_of_one_long_word(documents):
