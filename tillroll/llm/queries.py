@@ -154,6 +154,30 @@ SELECT * FROM r WHERE rank <= 20
     "op2_license_scan": _LICENSE_SQL.replace(
         "{SPELLINGS}", "{" + ", ".join(f"'{a}': '{b}'" for a, b in SPELLINGS.items()) + "}"
     ).replace("{KNOWN}", ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)),
+    "op3_near_dedup": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 3, 2)),
+                                                  lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
+    FROM w WHERE len(words) > 0
+), n AS (
+    SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE shared >= 0.8 * (x.size + y.size - shared) - 1e-9
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT a AS doc_id, min(b) AS class_id, (SELECT count(*) FROM links l WHERE l.a = reached.a) AS n_links
+FROM reached GROUP BY a
+""",
     "op8_exact_dedup": r"""
 WITH t AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -167,5 +191,37 @@ WITH t AS (
     FROM t
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM w
+""",
+    "op9_suffix_dedup": """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), blocks AS (
+    SELECT doc_id, b, substr(hx, CAST(2 * b + 1 AS BIGINT), 298) AS piece
+    FROM (SELECT doc_id, hx, unnest(range(0, length(hx) // 2 - 49, 100)) AS b FROM d WHERE length(hx) >= 100)
+), g AS (
+    SELECT doc_id, b + j AS i, substr(piece, CAST(2 * j + 1 AS BIGINT), 100) AS s
+    FROM (SELECT doc_id, b, piece, unnest(range(0, length(piece) // 2 - 49)) AS j FROM blocks)
+), f AS (
+    SELECT s, min(doc_id) AS first_id FROM g GROUP BY s
+), starts AS (
+    SELECT g.doc_id, g.i FROM g JOIN f ON g.s = f.s WHERE f.first_id < g.doc_id
+), marked AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh
+    FROM starts
+), numbered AS (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), runs AS (
+    SELECT doc_id, run, min(i) AS low, max(i) + 50 AS high FROM numbered GROUP BY ALL
+), gaps AS (
+    SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS open_at FROM runs
+), cut AS (
+    SELECT d.doc_id, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans,
+           string_agg(substr(hx, CAST(2 * open_at + 1 AS BIGINT), CAST(2 * (low - open_at) AS BIGINT)), '' ORDER BY low)
+               || substr(any_value(hx), CAST(2 * max(high) + 1 AS BIGINT)) AS kept
+    FROM gaps JOIN d ON gaps.doc_id = d.doc_id GROUP BY d.doc_id
+)
+SELECT d.doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, hx))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
 """,
 }
