@@ -85,10 +85,11 @@ def as_sha(rows):
     return [(a, n, r, s, hashlib.sha256(k).hexdigest()) for a, n, r, s, k in rows]
 
 
-@pytest.mark.parametrize("bucket_bytes", [2_000_000, 900])
-def test_remove_repeats(documents, bucket_bytes):
+@pytest.mark.parametrize("bucket_bytes, hot", [(2_000_000, 100_000), (900, 100_000), (900, 2), (900, 0)])
+def test_remove_repeats(documents, bucket_bytes, hot):
     rows = [r[:2] for r in odd_rows()]
-    got = suffix_dedup.digest(suffix_dedup.remove_repeats(documents(rows, clashing=True), bucket_bytes=bucket_bytes))
+    docs = documents(rows, clashing=True)
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, bucket_bytes=bucket_bytes, hot=hot))
     assert bag(got.collect()) == bag(as_sha(brute.removed(rows)))
 
 

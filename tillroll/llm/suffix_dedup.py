@@ -23,6 +23,11 @@ for any two positions, at a third of its density (see the README for figures).
 4. Each bucket learns which of its strings an earlier document holds, and removes
    the bytes they cover.
 
+An anchor that occurs more than HOT times (the end of a line that a third of all
+documents hold, say, each followed by something else) would gather too many
+contexts.  The strings around such an anchor are listed one by one instead, each
+distinct string once per bucket, and dealt by their own hash.
+
 The documents are shuffled once; the three passes over a bucket read the same
 shuffle files.  Comparison is of bytes throughout; hashes only choose what meets.
 """
@@ -33,12 +38,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LENGTH = 50
 ANCHOR = 20
 BUCKET_BYTES = 2_000_000
+HOT = 100_000
 SEED = 9
 
 _SLICE = 1 << 17
@@ -50,13 +57,14 @@ _B = np.uint64(0xC2B2AE3D27D4EB4F)
 class Plan:
     """String length, anchor length and what follows from them."""
 
-    def __init__(self, length: int, anchor: int, parts: int):
+    def __init__(self, length: int, anchor: int, parts: int, hot: int):
         if not 8 <= anchor <= length:
             raise ValueError("an anchor has from 8 bytes up to the string's length")
-        self.length, self.anchor, self.parts = length, anchor, parts
+        self.length, self.anchor, self.parts, self.hot = length, anchor, parts, hot
         self.reach = length - anchor  # bytes before an anchor that a string can hold
         self.entry = 8 + self.reach + length + 4  # anchor hash, context, and its two lengths
         self.kind = np.dtype((np.void, self.entry))
+        self.string = np.dtype((np.void, 8 + length))
 
     def part(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes >> np.uint64(32)) * np.uint64(self.parts)) >> np.uint64(32)
@@ -196,17 +204,38 @@ class Bucket:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, plan.kind)
         return tuple(np.concatenate(x) for x in zip(*out))
 
-    def distinct(self, plan: Plan, shared: np.ndarray):
-        """``entries``, with the distinct entries in order and the smallest document of each."""
-        at, doc, own = self.entries(plan, shared)
+    def strings(self, plan: Plan, hot: np.ndarray):
+        """Strings around the anchors whose hash is in the sorted ``hot``: starts,
+        documents, and each string behind its own hash."""
+        starts = [np.zeros(0, np.int64)]
+        ends = self.starts + self.sizes
+        for at, hashes, doc in self.anchors(plan) if len(hot) else []:
+            place = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
+            at, doc = at[hot[place] == hashes], doc[hot[place] == hashes]
+            for j in range(plan.reach + 1):
+                starts.append(at[(at - j >= self.starts[doc]) & (at - j + plan.length <= ends[doc])] - j)
+        at = np.unique(np.concatenate(starts))
+        doc = np.searchsorted(self.starts, at, side="right") - 1
+        raw = np.empty((len(at), 8 + plan.length), np.uint8)
+        if len(at):
+            raw[:, 8:] = np.lib.stride_tricks.sliding_window_view(self.data, plan.length)[at]
+            factors = np.multiply.accumulate(np.full(plan.length, _A, np.uint64))
+            hashes = (raw[:, 8:].astype(np.uint64) + np.uint64(1)) @ factors
+            hashes = (hashes ^ (hashes >> np.uint64(32))) * _B
+            raw[:, :8] = (hashes ^ (hashes >> np.uint64(29))).astype(">u8").view(np.uint8).reshape(-1, 8)
+        return at, doc, raw.view(plan.string).ravel()
+
+    def distinct(self, at: np.ndarray, doc: np.ndarray, own: np.ndarray):
+        """Of ``entries`` or ``strings``: which distinct one each is, the distinct ones
+        in order, and the smallest document of each."""
         kinds, back = np.unique(own, return_inverse=True)
         first = np.full(len(kinds), _NONE, np.int64)
         np.minimum.at(first, back, self.order[doc])
         return at, doc, back, kinds, first
 
 
-def _hashes_of(entries: np.ndarray, plan: Plan) -> np.ndarray:
-    raw = entries.view(np.uint8).reshape(-1, plan.entry)
+def _hashes_of(entries: np.ndarray) -> np.ndarray:
+    raw = entries.view(np.uint8).reshape(-1, entries.dtype.itemsize)
     return np.ascontiguousarray(raw[:, :8]).view(">u8").ravel().astype(np.uint64)
 
 
@@ -221,7 +250,8 @@ def _by_part(hashes: np.ndarray, plan: Plan):
 
 def _list_hashes(plan: Plan):
     def run(table: pa.Table) -> pa.Table:
-        """A bucket's anchor hashes, each once, and whether two of its documents hold it."""
+        """A bucket's anchor hashes, each once: whether two of its documents hold it, and
+        how often it occurs."""
         bucket = Bucket(table)
         found = [(h, bucket.order[d]) for _, h, d in bucket.anchors(plan)]
         hashes, docs = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -229,9 +259,11 @@ def _list_hashes(plan: Plan):
         hashes, docs = hashes[by_hash], docs[by_hash]
         firsts = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]) != 0) if len(hashes) else np.zeros(0, np.int64)
         several = np.minimum.reduceat(docs, firsts) < np.maximum.reduceat(docs, firsts) if len(firsts) else np.zeros(0, bool)
+        n = np.diff(np.append(firsts, len(hashes))).astype(np.uint32)
         hashes = hashes[firsts]
         rows = [
-            (p, _pack_sorted(hashes[lo:hi]), np.packbits(several[lo:hi]).tobytes()) for p, lo, hi in _by_part(hashes, plan)
+            (p, _pack_sorted(hashes[lo:hi]), np.packbits(several[lo:hi]).tobytes(), _packed(n[lo:hi].tobytes()))
+            for p, lo, hi in _by_part(hashes, plan)
         ]
         return pa.table(
             {
@@ -239,14 +271,22 @@ def _list_hashes(plan: Plan):
                 "bucket": pa.array([table["bucket"][0].as_py()] * len(rows), pa.int64()),
                 "hashes": pa.array([r[1] for r in rows], pa.binary()),
                 "several": pa.array([r[2] for r in rows], pa.binary()),
+                "n": pa.array([r[3] for r in rows], pa.binary()),
             }
         )
 
     return run
 
 
-def _share(table: pa.Table) -> pa.Table:
-    """Of a hash range: what each bucket holds in common with another document."""
+def _share(plan: Plan):
+    def run(table: pa.Table) -> pa.Table:
+        """Of a hash range: what each bucket holds in common with another document."""
+        return _shared_in(table, plan.hot)
+
+    return run
+
+
+def _shared_in(table: pa.Table, limit: int) -> pa.Table:
     lists = [_unpack_sorted(h) for h in table["hashes"].to_pylist()]
     several = [
         np.unpackbits(np.frombuffer(s, np.uint8), count=len(h)).astype(bool)
@@ -255,11 +295,17 @@ def _share(table: pa.Table) -> pa.Table:
     kinds, back, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     twice = n > 1
     twice[back[np.concatenate(several)]] = True
-    out, low = [], 0
+    occurs = np.concatenate([np.frombuffer(_unpacked(x), np.uint32) for x in table["n"].to_pylist()])
+    hot = twice & (np.bincount(back, occurs, len(kinds)) > limit)
+    cold = twice & ~hot
+    columns, low = {"hashes": [], "hot": []}, 0
     for own in lists:
-        out.append(_pack_sorted(own[twice[back[low : low + len(own)]]]))
+        at = back[low : low + len(own)]
+        columns["hashes"].append(_pack_sorted(own[cold[at]]))
+        columns["hot"].append(_pack_sorted(own[hot[at]]))
         low += len(own)
-    return pa.table({"part": table["part"], "bucket": table["bucket"], "hashes": pa.array(out, pa.binary())})
+    lists = {c: pa.array(v, pa.binary()) for c, v in columns.items()}
+    return pa.table({"part": table["part"], "bucket": table["bucket"], **lists})
 
 
 def _answers(table: pa.Table, column: str, unpack) -> np.ndarray:
@@ -268,23 +314,33 @@ def _answers(table: pa.Table, column: str, unpack) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint64), *parts])
 
 
+_ENTRIES, _STRINGS, _HOT = 0, 1, 2
+
+
 def _list_entries(plan: Plan):
     def run(table: pa.Table, answer: pa.Table) -> pa.Table:
-        """A bucket's distinct contexts of shared anchors, with the smallest document."""
+        """A bucket's distinct contexts of shared anchors and strings around hot ones,
+        with the smallest document of each; and its hot anchors, as a note to itself."""
         rows = []
         if len(table):
-            _, _, _, kinds, first = Bucket(table).distinct(plan, _answers(answer, "hashes", _unpack_sorted))
-            rows = [
-                (p, _packed(kinds[lo:hi].tobytes()), _packed(first[lo:hi].tobytes()))
-                for p, lo, hi in _by_part(_hashes_of(kinds, plan), plan)
-            ]
-            number = table["bucket"][0].as_py()
+            bucket, number = Bucket(table), table["bucket"][0].as_py()
+            hot = _answers(answer, "hot", _unpack_sorted)
+            listed = {_ENTRIES: bucket.entries(plan, _answers(answer, "hashes", _unpack_sorted)), _STRINGS: bucket.strings(plan, hot)}
+            for kind, found in listed.items():
+                _, _, _, kinds, first = bucket.distinct(*found)
+                rows += [
+                    (p, kind, _packed(kinds[lo:hi].tobytes()), _packed(first[lo:hi].tobytes()))
+                    for p, lo, hi in _by_part(_hashes_of(kinds), plan)
+                ]
+            if len(hot):
+                rows.append((number % plan.parts, _HOT, _pack_sorted(hot), None))
         return pa.table(
             {
                 "part": pa.array([r[0] for r in rows], pa.int64()),
+                "kind": pa.array([r[1] for r in rows], pa.int32()),
                 "bucket": pa.array([number for _ in rows], pa.int64()),
-                "entries": pa.array([r[1] for r in rows], pa.binary()),
-                "first": pa.array([r[2] for r in rows], pa.binary()),
+                "entries": pa.array([r[2] for r in rows], pa.binary()),
+                "first": pa.array([r[3] for r in rows], pa.binary()),
             }
         )
 
@@ -315,7 +371,7 @@ def earlier(kinds: np.ndarray, first: np.ndarray, plan: Plan) -> tuple[np.ndarra
     """
     n = len(kinds)
     raw = kinds.view(np.uint8).reshape(n, plan.entry)
-    group = np.cumsum(np.diff(_hashes_of(kinds, plan), prepend=np.uint64(0)) != 0)
+    group = np.cumsum(np.diff(_hashes_of(kinds), prepend=np.uint64(0)) != 0)
     before = raw[:, -4].astype(np.int64) * 256 + raw[:, -3]
     after = raw[:, -2].astype(np.int64) * 256 + raw[:, -1]
     left, left_common = _ranked(group, raw[:, 8 : 8 + plan.reach][:, ::-1]) if plan.reach else (np.argsort(group, kind="stable"), np.where(np.diff(group, prepend=-1) != 0, -1, 0))
@@ -342,23 +398,33 @@ def earlier(kinds: np.ndarray, first: np.ndarray, plan: Plan) -> tuple[np.ndarra
 def _resolve(plan: Plan):
     def run(table: pa.Table) -> pa.Table:
         """Of a hash range: for every bucket's entries, the strings to remove in the
-        entry's smallest document there."""
-        lists = [np.frombuffer(_unpacked(e), plan.kind) for e in table["entries"].to_pylist()]
-        docs = [np.frombuffer(_unpacked(f), np.int64) for f in table["first"].to_pylist()]
-        kinds, back = np.unique(np.concatenate(lists), return_inverse=True)
-        every = np.concatenate(docs)
-        first = np.full(len(kinds), _NONE, np.int64)
-        np.minimum.at(first, back, every)
-        valid, found = earlier(kinds, first, plan)
-        # A later document with the whole context loses all its strings.
-        masks = np.where(every > first[back], valid[back], found[back])
-        out, low = [], 0
-        for own in lists:
-            out.append((_pack_sorted(_hashes_of(own, plan)), _packed(masks[low : low + len(own)].tobytes())))
-            low += len(own)
+        entry's smallest document there (for strings: 1 or 0)."""
+        kind = table["kind"][0].as_py()
+        if kind == _HOT:
+            out = [(h, None) for h in table["entries"].to_pylist()]
+        else:
+            shape = plan.kind if kind == _ENTRIES else plan.string
+            lists = [np.frombuffer(_unpacked(e), shape) for e in table["entries"].to_pylist()]
+            every = np.concatenate([np.frombuffer(_unpacked(f), np.int64) for f in table["first"].to_pylist()])
+            kinds, back = np.unique(np.concatenate(lists), return_inverse=True)
+            first = np.full(len(kinds), _NONE, np.int64)
+            np.minimum.at(first, back, every)
+            later = every > first[back]
+            if kind == _ENTRIES:
+                valid, found = earlier(kinds, first, plan)
+                # A later document with the whole context loses all its strings.
+                masks = np.where(later, valid[back], found[back])
+            else:
+                masks = later.astype(np.uint64)
+            out, low = [], 0
+            for own in lists:
+                hashes = _pack_sorted(_hashes_of(own)) if kind == _ENTRIES else None
+                out.append((hashes, _packed(masks[low : low + len(own)].tobytes())))
+                low += len(own)
         return pa.table(
             {
                 "part": table["part"],
+                "kind": table["kind"],
                 "bucket": table["bucket"],
                 "hashes": pa.array([o[0] for o in out], pa.binary()),
                 "masks": pa.array([o[1] for o in out], pa.binary()),
@@ -376,14 +442,21 @@ def _remove(plan: Plan):
         removed, spans, kept = np.zeros(n_docs, np.int64), np.zeros(n_docs, np.int64), []
         if bucket is not None:
             starts = np.zeros(len(bucket.data) + plan.length + 1, np.int32)
-            shared = np.unique(_answers(answer, "hashes", _unpack_sorted))
-            masks = _answers(answer, "masks", lambda x: np.frombuffer(_unpacked(x), np.uint64))
-            at, doc, back, kinds, first = bucket.distinct(plan, shared)
+            parts = {k: answer.filter(pa.compute.equal(answer["kind"], k)) for k in (_ENTRIES, _STRINGS, _HOT)}
+            unpack_masks = lambda x: np.frombuffer(_unpacked(x), np.uint64)
+            shared = np.unique(_answers(parts[_ENTRIES], "hashes", _unpack_sorted))
+            at, doc, back, kinds, first = bucket.distinct(*bucket.entries(plan, shared))
+            masks = _answers(parts[_ENTRIES], "masks", unpack_masks)
             if len(kinds):
                 whole = _whole(kinds, plan)
                 own = np.where(bucket.order[doc] > first[back], whole[back], masks[back])
                 for j in range(plan.reach + 1):
                     starts[at[(own >> np.uint64(j)) & np.uint64(1) == 1] - j] = 1
+            hot = _answers(parts[_HOT], "hashes", _unpack_sorted)
+            at, doc, back, kinds, first = bucket.distinct(*bucket.strings(plan, hot))
+            masks = _answers(parts[_STRINGS], "masks", unpack_masks)
+            if len(kinds):
+                starts[at[(bucket.order[doc] > first[back]) | (masks[back] > 0)]] = 1
             sums = np.concatenate([np.zeros(plan.length, np.int64), np.cumsum(starts)])
             covered = (sums[plan.length :] > sums[: -plan.length])[: len(bucket.data)]
             opened = covered & ~np.concatenate([[False], covered[:-1]]) if len(covered) else covered
@@ -417,7 +490,7 @@ def _whole(kinds: np.ndarray, plan: Plan) -> np.ndarray:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs`` (``doc_id`` long, ``text``; others ignored).
 
     Returns ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal runs
@@ -434,21 +507,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     size = max(bucket_bytes, 64 * math.isqrt(total))
     buckets = max(1, math.ceil(total / size))
-    plan = Plan(length, anchor, buckets)
+    plan = Plan(length, anchor, buckets, hot)
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("bytes"))
         .withColumn("bucket", F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "bytes"), F.lit(buckets)))
         .mapInArrow(_pack_documents, "bucket long, documents binary")
         .repartition("bucket")
     )
-    listed = rows.groupBy("bucket").applyInArrow(_list_hashes(plan), "part long, bucket long, hashes binary, several binary")
-    shared = listed.groupBy("part").applyInArrow(_share, "part long, bucket long, hashes binary")
+    listed = rows.groupBy("bucket").applyInArrow(
+        _list_hashes(plan), "part long, bucket long, hashes binary, several binary, n binary"
+    )
+    shared = listed.groupBy("part").applyInArrow(_share(plan), "part long, bucket long, hashes binary, hot binary")
     entries = (
         rows.groupBy("bucket")
         .cogroup(shared.groupBy("bucket"))
-        .applyInArrow(_list_entries(plan), "part long, bucket long, entries binary, first binary")
+        .applyInArrow(_list_entries(plan), "part long, kind int, bucket long, entries binary, first binary")
+    )
+    masks = entries.groupBy("part", "kind").applyInArrow(
+        _resolve(plan), "part long, kind int, bucket long, hashes binary, masks binary"
     )
-    masks = entries.groupBy("part").applyInArrow(_resolve(plan), "part long, bucket long, hashes binary, masks binary")
     return (
         rows.groupBy("bucket")
         .cogroup(masks.groupBy("bucket"))
