@@ -86,7 +86,7 @@ def permuted(index: Column, n: Column, *keys: Column) -> Column:
     """
 
     def step(x, r):
-        partner = F.pmod(F.xxhash64(F.lit(SEED), r, *keys) - x, n)
+        partner = F.pmod(F.pmod(F.xxhash64(F.lit(SEED), r, *keys), n) - x, n)
         swap = F.pmod(F.xxhash64(F.lit(SEED + 1), r, F.greatest(x, partner), *keys), F.lit(2)) == 1
         return F.when(swap, partner).otherwise(x)
 
