@@ -23,14 +23,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+# Rows of a light table (ids, hashes, counts) that one writing task takes.
+ROWS_PER_TASK = 50_000
+
+
+def settle(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to a new folder under ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage: a lost executor costs at most the work after the last
-    settled table, and every later reader sees the same rows.
+    settled table, and every later reader sees the same rows.  ``rows``: about how
+    many light rows there are, for as many tasks and files as they need.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -267,6 +267,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     """
     bands, rows = bands_for(threshold, recall, MAX_HASHES)
     light = settle(_signed(docs, bands, rows), "op3-signed")
+    n = light.count()
     usable = light.where("words > 0 AND doc_id IS NOT NULL")
     alone = light.where("words = 0 OR doc_id IS NULL").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
@@ -278,23 +279,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
             F.count(F.lit(1)).alias("n"),
             F.first("bands").alias("bands"),
         ).select("k1", "k2", F.col("first.doc_id").alias("node"), F.col("first.text_key").alias("text_key"), "n", "bands"),
-        "op3-classes",
+        "op3-classes", n,
     )
     keyed = classes.select("node", F.explode("bands").alias("band"))
     buckets = settle(
         keyed.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1").select("band", "hub"),
-        "op3-buckets",
+        "op3-buckets", n,
     )
     ties = keyed.join(buckets, "band").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    groups = settle(components(ties), "op3-groups")
+    groups = settle(components(ties, n), "op3-groups", n)
     sizes = settle(
-        groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "op3-sizes"
+        groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "op3-sizes", n
     )
     members = settle(
         groups.join(sizes, "root")
         .withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "node"), F.col("blocks")).cast("int"))
         .join(classes.select("node", "text_key", "k1", "n"), "node"),
-        "op3-members",
+        "op3-members", n,
     )
     tasks = max(1, math.ceil(members.count() / MEMBERS_PER_TASK))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("own_key"))
@@ -320,14 +321,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         .applyInArrow(_verified(threshold), "node long, k1 long, links long, label long"),
         "op3-verified",
     )
-    linked = components(verified.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+    linked = components(verified.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")), n)
     counted = verified.groupBy("node", "k1").agg(F.sum("links").alias("links"))
     decided = settle(
         classes.select("node", "k1", "k2", "n")
         .join(counted, ["node", "k1"], "left")
         .join(linked, "node", "left")
         .select("k1", "k2", F.coalesce("root", "node").alias("class_id"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
-        "op3-decided",
+        "op3-decided", n,
     )
     return usable.select("doc_id", "k1", "k2").join(decided, ["k1", "k2"]).select("doc_id", "class_id", "n_links").unionByName(alone)
 
