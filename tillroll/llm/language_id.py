@@ -24,7 +24,7 @@ from tillroll.llm.common import slices, utf8, windows
 ORDER = 4
 # Training texts are whole documents, drawn by a hash of their id so that each
 # language has about this many bytes of them (all, if it has fewer).
-TRAIN_BYTES = 2_000_000
+TRAIN_BYTES = 1_000_000
 PART = 3
 HELD_OUT = 1
 SEED = 7
