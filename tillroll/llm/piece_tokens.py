@@ -36,7 +36,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 32_768
 # Characters of text in one pass; units kept solved between passes; longest unit of a pass.
 PASS_CHARS = 1 << 20
-MEMO_UNITS = 100_000
+MEMO_UNITS = 250_000
 LOCKSTEP_CHARS = 48
 
 _RESULT = "n_tokens long, ids array<int>, text_sha256 string"
@@ -410,7 +410,6 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk_chars: int = CHU
                 packed = segmenter.encode(texts[low:high])
                 yield from _rows(vocabulary, batch["doc_id"].slice(low, high - low), packed).to_batches()
                 low = high
-        segmenter.memo.clear()  # the worker lives on
 
     solved = rows.where(F.char_length("text") <= chunk_chars).mapInArrow(small, f"doc_id {kind}, {_RESULT}")
     return solved.unionByName(_giants(rows.where(F.char_length("text") > chunk_chars), vocabulary, kind, chunk_chars))
