@@ -1,9 +1,14 @@
 """Operator 5, toxicity: a linear classifier over character n-grams.
 
-Features are the distinct lower-cased byte 4- and 5-grams of a text, hashed.  On
-the training rows each feature's naive Bayes log-count ratio is computed; the
-features that best separate the labels are kept, scaled by their ratio, and a
+Features are the distinct lower-cased byte 4- and 5-grams of a text, by their exact
+bytes.  On the training rows each feature's naive Bayes log-count ratio is computed;
+the features that best separate the labels are kept, scaled by their ratio, and a
 logistic regression over them is fitted.  Scoring reads every byte of every text.
+
+A long text is scored window by window, so that its length alone brings no
+features together.  Its odds are the mean of its windows' odds: the passage that
+makes a text toxic may be any one of them.  In training a feature counts by the
+share of the text's windows that hold it.
 """
 
 from __future__ import annotations
@@ -13,10 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices, utf8, windows
+from tillroll.llm.common import settle, slices, utf8, windows
 
 SIZES = (4, 5)
+# Chosen n-grams are sought by a hash of this many bits, then by their exact value.
 BITS = 18
+# A longer text is scored as windows of about this many bytes, each half over the last.
+WINDOW = 4096
 # Labelled rows to learn from: those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
 FEATURES = 400
@@ -27,7 +35,11 @@ HELD_OUT = 2
 SEED = 5
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+# Bytes of text whose n-grams are counted in one pass.
+COUNT_BYTES = 1 << 21
 _WIDTH = max(SIZES)
+# Bits of an n-gram: its bytes, and a mark on the shorter ones.
+_KEY = 8 * _WIDTH + 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -35,7 +47,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _features(texts: list[bytes]):
-    """For each n-gram size: the hashed feature at every start, and the text it is in.
+    """For each n-gram size: the n-gram at every start, as an exact number, and the text it is in.
 
     A text is closed by blanks, so its last words have features like the others
     and no feature spans two texts' letters.
@@ -44,30 +56,66 @@ def _features(texts: list[bytes]):
     data = np.frombuffer(b"".join(padded) + b" " * 8, np.uint8)
     text = np.repeat(np.arange(len(texts)), [len(t) for t in padded])
     for n in SIZES:
-        grams = windows(data, n, len(data) - 8) | np.uint64(n << 56)
-        yield ((grams * _MULTIPLIER) >> np.uint64(64 - BITS)).astype(np.int64), text
+        grams = windows(data, n, len(data) - 8).astype(np.int64)
+        yield grams | (0 if n == _WIDTH else 1 << 8 * _WIDTH), text
+
+
+def _slot(grams: np.ndarray) -> np.ndarray:
+    return ((grams.astype(np.uint64) * _MULTIPLIER) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+class Grams:
+    """Finds some n-grams, given as sorted exact numbers, in the windows of texts."""
+
+    def __init__(self, grams: np.ndarray):
+        self.grams = grams
+        self.used = np.zeros(1 << BITS, bool)
+        self.used[_slot(grams)] = True
+
+    def windows(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many windows each text has; then, for every window (counted through)
+        and gram in it, the window and the gram's place."""
+        sizes = np.array([len(t) + 1 + _WIDTH for t in texts])  # as padded in _features
+        halves = np.maximum(2, -(-2 * sizes // WINDOW))
+        starts, firsts = np.cumsum(sizes) - sizes, np.cumsum(halves - 1) - (halves - 1)
+        n, found = len(self.grams), []
+        for gram, text in _features(texts):
+            hit = np.flatnonzero(self.used[_slot(gram)])
+            place = np.minimum(np.searchsorted(self.grams, gram[hit]), n - 1)
+            same = self.grams[place] == gram[hit]
+            hit, place = hit[same], place[same]
+            t = text[hit]
+            half = (hit - starts[t]) * halves[t] // sizes[t]
+            for window in (np.maximum(half - 1, 0), np.minimum(half, halves[t] - 2)):
+                found.append((firsts[t] + window) * n + place)
+        found = np.unique(np.concatenate(found))  # a gram counts once in a window
+        return halves - 1, found // n, found % n
 
 
 class Model:
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
-        self.used = weights != 0
+    def __init__(self, grams: np.ndarray, weights: np.ndarray, bias: float):
+        self.grams, self.weights, self.bias = Grams(grams), weights, bias
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        pairs = []
-        for feature, text in _features(texts):
-            hit = np.flatnonzero(self.used[feature])
-            pairs.append(text[hit] << BITS | feature[hit])
-        pairs = np.unique(np.concatenate(pairs))  # a feature counts once in a text
-        logit = self.bias + np.bincount(pairs >> BITS, self.weights[pairs & ((1 << BITS) - 1)], len(texts))
+        logit = np.full(len(texts), self.bias)
+        if len(self.weights):
+            parts, window, place = self.grams.windows(texts)
+            evidence = np.bincount(window, self.weights[place], parts.sum())
+            first = np.cumsum(parts) - parts
+            most = np.maximum.reduceat(evidence, first)
+            logit += most + np.log(np.add.reduceat(np.exp(evidence - np.repeat(most, parts)), first) / parts)
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -500, 500)))
 
 
+def _counts(grams, clean, toxic) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (grams, clean, toxic)], names=["gram", "clean", "toxic"])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from at most ``sample_rows`` labelled rows outside the held-out part.
 
     A document labelled more than once is toxic if any of its labels says so.
-    What reaches the driver is bounded by ``sample_rows`` and the feature space.
+    What reaches the driver is bounded by ``sample_rows`` and ``FEATURES``.
     """
     sample = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -82,63 +130,54 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def count(batches):
         for batch in batches:
             texts, y = utf8(batch["text"]), np.asarray(batch["toxic"])
-            seen = np.zeros((2, 1 << BITS), np.int64)
-            for lo, hi in slices(texts):
-                pairs = np.unique(np.concatenate([t << BITS | f for f, t in _features(texts[lo:hi])]))
-                feature, toxic = pairs & ((1 << BITS) - 1), y[lo:hi][pairs >> BITS]
-                for label in (0, 1):
-                    seen[label] += np.bincount(feature[toxic == label], minlength=1 << BITS)
-            at = np.flatnonzero(seen.any(axis=0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (np.append(at, -1), np.append(seen[0, at], (y == 0).sum()), np.append(seen[1, at], (y == 1).sum()))],
-                names=["feature", "clean", "toxic"],
-            )
-
-    counted = (
-        rows.mapInArrow(count, "feature long, clean long, toxic long")
-        .groupBy("feature")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .toPandas()
-        .sort_values("feature")
+            # -1 counts the texts.
+            yield _counts([-1], [(y == 0).sum()], [(y == 1).sum()])
+            for lo, hi in slices(texts, COUNT_BYTES):
+                pairs = np.unique(np.concatenate([t << _KEY | f for f, t in _features(texts[lo:hi])]))
+                labelled = (pairs & ((1 << _KEY) - 1)) << 1 | y[lo:hi][pairs >> _KEY]
+                labelled, n = np.unique(labelled, return_counts=True)
+                yield _counts(labelled >> 1, n * (labelled & 1 == 0), n * (labelled & 1))
+
+    counted = settle(
+        rows.mapInArrow(count, "gram long, clean long, toxic long")
+        .groupBy("gram")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")),
+        "op5-grams",
     )
-    totals = counted[counted["feature"] == -1]
-    n_clean, n_toxic = int(totals["clean"].sum()), int(totals["toxic"].sum())
+    totals = counted.where("gram = -1").agg(F.sum("clean"), F.sum("toxic")).first()
+    n_clean, n_toxic = (int(x or 0) for x in totals)
     if not n_clean or not n_toxic:  # one label or none: that label, or 0
-        return Model(np.zeros(1 << BITS), 500.0 if n_toxic else -500.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0), 500.0 if n_toxic else -500.0)
 
-    counted = counted[counted["feature"] >= 0]
-    feature, a, b = (counted[c].to_numpy() for c in ("feature", "toxic", "clean"))
-    ratio = np.log((a + 1.0) / (a.sum() + len(a))) - np.log((b + 1.0) / (b.sum() + len(b)))
+    counted = counted.where("gram >= 0")
+    kinds, all_clean, all_toxic = counted.agg(F.count(F.lit(1)), F.sum("clean"), F.sum("toxic")).first()
     # Chi-square of presence against label, to choose the features.
-    n, present = n_clean + n_toxic, (a + b).astype(float)
-    gap = a * float(n_clean) - b * float(n_toxic)
-    chi = n * gap**2 / np.maximum(1e-9, present * (n - present) * n_clean * n_toxic)
-    best = np.sort(np.lexsort((feature, -chi))[:FEATURES])
-    chosen, ratio = feature[best], ratio[best]
-    place = np.full(1 << BITS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-
-    def present_features(batches):
+    n = n_clean + n_toxic
+    present = (F.col("clean") + F.col("toxic")).cast("double")
+    gap = F.col("toxic") * float(n_clean) - F.col("clean") * float(n_toxic)
+    chi = n * gap * gap / F.greatest(F.lit(1e-9), present * (n - present) * float(n_clean) * float(n_toxic))
+    best = counted.orderBy(chi.desc(), "gram").limit(FEATURES).toPandas().sort_values("gram")
+    chosen, a, b = (best[c].to_numpy() for c in ("gram", "toxic", "clean"))
+    ratio = np.log((a + 1.0) / (all_toxic + kinds)) - np.log((b + 1.0) / (all_clean + kinds))
+
+    def shares(batches):
+        found = Grams(chosen)
         for batch in batches:
             texts, out = utf8(batch["text"]), []
             for lo, hi in slices(texts):
-                found = []
-                for f, t in _features(texts[lo:hi]):
-                    p = place[f]
-                    hit = np.flatnonzero(p >= 0)
-                    found.append(t[hit] * FEATURES + p[hit])
-                pairs = np.unique(np.concatenate(found))
-                cuts = np.searchsorted(pairs, np.arange(1, hi - lo) * FEATURES)
-                out += [(x % FEATURES).astype(np.int16).tobytes() for x in np.split(pairs, cuts)]
+                x = np.zeros((hi - lo, len(chosen)), np.float32)
+                parts, window, place = found.windows(texts[lo:hi])
+                text = np.repeat(np.arange(hi - lo), parts)[window]
+                np.add.at(x, (text, place), 1.0 / parts[text])  # the share of its windows
+                out += [row.tobytes() for row in x]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(out, pa.binary())], names=["toxic", "features"])
 
-    pdf = rows.mapInArrow(present_features, "toxic int, features binary").toPandas()
+    pdf = rows.mapInArrow(shares, "toxic int, features binary").toPandas()
     pdf = pdf.sort_values(["toxic", "features"])  # the same sums in every run
-    x = np.zeros((len(pdf), len(chosen) + 1), np.float32)
+    x = np.ones((len(pdf), len(chosen) + 1), np.float32)
     for i, packed in enumerate(pdf["features"]):
-        x[i, np.frombuffer(bytes(packed), np.int16)] = 1
+        x[i, :-1] = np.frombuffer(bytes(packed), np.float32)
     x[:, :-1] *= ratio.astype(np.float32)
-    x[:, -1] = 1
     y = pdf["toxic"].to_numpy(np.float32)
     ridge = np.full(x.shape[1], RIDGE, np.float32)
     ridge[-1] = 1e-3
@@ -149,9 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         w -= step
         if np.abs(step).max() < 1e-4:
             break
-    weights = np.zeros(1 << BITS)
-    weights[chosen] = w[:-1] * ratio
-    return Model(weights, float(w[-1]))
+    return Model(chosen, w[:-1] * ratio, float(w[-1]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
