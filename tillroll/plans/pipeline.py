@@ -63,6 +63,10 @@ class Layout:
     def gold_totals(self) -> str:
         return f"{self.gold}/_totals"
 
+    @property
+    def gold_built_from(self) -> str:
+        return f"{self.gold}/_built_from"
+
     @property
     def gold_partials(self) -> str:
         return self._p("gold_partials")
@@ -83,6 +87,8 @@ TOTALS_SCHEMA = (
     "WeekStartDate DATE, StockCode STRING, Description STRING, CustomerID STRING, "
     "Country STRING, revenue DECIMAL(38,2), quantity BIGINT, grain STRING"
 )
+# Which silver files the gold tables hold: their number, and the sum of the names' hashes.
+BUILT_FROM_SCHEMA = "files BIGINT, names DECIMAL(38,0)"
 PARTIALS_SCHEMA = f"{TOTALS_SCHEMA}, {SOURCE_FILE} STRING"
 
 
@@ -254,9 +260,14 @@ def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K, from_partial
 
     The grain totals are written first (partitioned by grain): that cuts the
     lineage, and each published table then reads only its own partition.
+
+    What gold was built from is recorded after all tables, and struck out before
+    the first is replaced: a build that breaks off counts as none.
     """
     with pinned(spark):
         rows = layers.read_silver(spark, layout.silver)  # missing silver is an error
+        source = _silver_state(spark, layout)  # before the totals are listed: never more than they hold
+        _record_built(spark, layout, (-1, 0))
         if from_partials:
             whole = gold.merge_totals(read_files(spark, PARTIALS_SCHEMA, layout.gold_partials))
         else:
@@ -265,6 +276,20 @@ def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K, from_partial
         saved = read_files(spark, TOTALS_SCHEMA, layout.gold_totals)
         for key, df in gold.gold_tables(saved, k).items():
             df.write.mode("overwrite").parquet(layout.gold_table(key))
+        _record_built(spark, layout, source)
+
+
+def _silver_state(spark: SparkSession, layout: Layout) -> tuple:
+    """The silver ledger as a set of names, in two numbers."""
+    names = ledger.read_ledger(spark, layout.silver_ledger).select("source_file").distinct()
+    digest = F.coalesce(F.sum(F.xxhash64("source_file").cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
+    return tuple(names.agg(F.count(F.lit(1)), digest).first())
+
+
+def _record_built(spark: SparkSession, layout: Layout, source: tuple) -> None:
+    files, names = source
+    row = spark.range(1).select(F.lit(files).cast("bigint").alias("files"), F.lit(str(names)).cast("decimal(38,0)").alias("names"))
+    row.write.mode("overwrite").parquet(layout.gold_built_from)
 
 
 def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -273,23 +298,25 @@ def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def _gold_built(spark: SparkSession, layout: Layout) -> bool:
+    """Whether all gold tables are there and hold exactly the files of the silver ledger."""
     try:
+        built = read_files(spark, BUILT_FROM_SCHEMA, layout.gold_built_from).first()
         read_files(spark, TOTALS_SCHEMA, layout.gold_totals)
         for key, ddl in GOLD_DDL.items():
             read_files(spark, ddl, layout.gold_table(key))
     except FileNotFoundError:
         return False
-    return True
+    return built is not None and tuple(built) == _silver_state(spark, layout)
 
 
 def run_increment(spark: SparkSession, layout: Layout) -> dict:
     """One increment end to end in one session: bronze, silver, gold.
 
-    Gold is not rebuilt if silver got no new file since it was built.
+    Gold is not rebuilt if the silver ledger names the files it was built from.
     """
     b = ingest_bronze(spark, layout)
     s = transform_silver(spark, layout)
-    if s["files"] or not _gold_built(spark, layout):
+    if not _gold_built(spark, layout):
         build_gold(spark, layout)
     return {"bronze": b, "silver": s}
 
