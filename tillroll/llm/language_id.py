@@ -14,6 +14,7 @@ recursion.  The language with the shortest code for the whole text wins.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +23,10 @@ from pyspark.sql import types as T
 from tillroll.llm.common import slices, utf8, windows
 
 ORDER = 4
-# Training texts are whole documents, drawn by a hash of their id so that each
-# language has about this many bytes of them (all, if it has fewer).
+# A language of at most this many bytes is learned whole.  Of any other, about this
+# many bytes are drawn: windows of its documents at hashed places.
 TRAIN_BYTES = 1_000_000
+WINDOW = 1024
 PART = 3
 HELD_OUT = 1
 SEED = 7
@@ -43,8 +45,13 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     Every text has at least one byte; the bytes before it count as new lines.
     """
-    data = np.frombuffer(b"".join(_PAD + t for t in texts) + b"\0" * 8, np.uint8)
-    sizes = np.array([len(t) for t in texts])
+    return _led([_PAD + t for t in texts])
+
+
+def _led(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts that bring the ORDER bytes before them."""
+    data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
+    sizes = np.array([len(t) - ORDER for t in texts])
     starts = np.cumsum(sizes) - sizes
     grams = windows(data, ORDER + 1, len(data) - 8)
     inside = np.repeat(np.arange(len(texts)) * ORDER, sizes) + np.arange(sizes.sum())
@@ -106,10 +113,46 @@ class ContextTrees:
         return np.add.reduceat(bits, starts, axis=0, dtype=np.float64)
 
 
+def _windows(text: bytes, share: float, start: float) -> list[bytes]:
+    """The windows of a text that are learned, each led by the ORDER bytes before it.
+
+    Window k is taken if a whole number lies in (start + (k-1) share, start + k share]:
+    with probability ``share`` over all starts, evenly over the text.
+    """
+    whole = _PAD + text
+    if share >= 1.0:
+        return [whole]
+    n = -(-len(text) // WINDOW)
+    at = np.ceil((np.arange(int(start + n * share) + 2) - start) / share).astype(np.int64)
+    return [whole[k * WINDOW : (k + 1) * WINDOW + ORDER] for k in at[(at >= 0) & (at < n)].tolist()]
+
+
+def _count(batches):
+    for batch in batches:
+        lang = np.asarray(batch["lang"])
+        drawn = [_windows(t, p, s) for t, p, s in zip(utf8(batch["text"]), batch["share"].to_pylist(), batch["start"].to_pylist())]
+        for k in np.unique(lang):
+            own = [w for found, l in zip(drawn, lang) if l == k for w in found]
+            for lo, hi in slices(own, 1 << 22):
+                g, n = np.unique(_led(own[lo:hi])[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(g), k, np.int32)), pa.array(g.astype(np.int64)), pa.array(n.astype(np.int64))],
+                    names=["lang", "gram", "n"],
+                )
+
+
+def _counted(rows: DataFrame) -> pd.DataFrame:
+    """Gram counts by language of the drawn windows of (lang, text, share, start)."""
+    grams = rows.mapInArrow(_count, "lang int, gram long, n long")
+    return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+
+
 def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> ContextTrees:
     """Context trees of every ``lang`` of ``docs`` outside the held-out part.
 
-    What reaches the driver is bounded by ``train_bytes`` for each language.
+    What reaches the driver is bounded by ``train_bytes`` for each language, however
+    long its documents are.  No language is left out: if no window of one is drawn,
+    its first document in hash order is learned, up to that many characters.
     """
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select(
         "doc_id", "lang", "text"
@@ -119,31 +162,23 @@ def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> ContextTrees:
     if not langs:
         return ContextTrees([], [])
     share = {r["lang"]: min(1.0, train_bytes / r["bytes"]) for r in sizes}
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.xxhash64("text")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.create_map(*[F.lit(x) for k in langs for x in (k, share[k])])[F.col("lang")]
+    start = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.xxhash64("text")), F.lit(1 << 30)) / float(1 << 30)
     number = F.create_map(*[F.lit(x) for i, k in enumerate(langs) for x in (k, i)])[F.col("lang")]
-
-    def count(batches):
-        for batch in batches:
-            texts, lang = utf8(batch["text"]), np.asarray(batch["lang"])
-            for k in np.unique(lang):
-                own = [t for t, l in zip(texts, lang) if l == k]
-                for lo, hi in slices(own, 1 << 22):
-                    g, n = np.unique(_grams(own[lo:hi])[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(g), k, np.int32)), pa.array(g.astype(np.int64)), pa.array(n.astype(np.int64))],
-                        names=["lang", "gram", "n"],
-                    )
-
-    counted = (
-        rows.where(drawn < chosen)
-        .select(number.cast("int").alias("lang"), "text")
-        .mapInArrow(count, "lang int, gram long, n long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-        .sort_values(["lang", "gram"])
+    rows = rows.select(
+        number.cast("int").alias("lang"),
+        "text",
+        F.create_map(*[F.lit(x) for k in langs for x in (k, share[k])])[F.col("lang")].alias("share"),
+        start.alias("start"),
     )
+    last = F.col("start") + (F.ceil(F.octet_length("text") / WINDOW) - 1) * F.col("share")
+    some = F.floor(last) > F.floor(F.col("start") - F.col("share"))  # a window of it is drawn
+    counted = _counted(rows.where((F.col("share") >= 1) | some))
+    missing = sorted(set(range(len(langs))) - set(counted["lang"]))
+    if missing:
+        text = F.min_by(F.substring("text", 1, train_bytes), F.struct("start", "text"))
+        first = rows.where(F.col("lang").isin(missing)).groupBy("lang").agg(text.alias("text"))
+        counted = pd.concat([counted, _counted(first.select("lang", "text", F.lit(1.0).alias("share"), F.lit(0.0).alias("start")))])
+    counted = counted.sort_values(["lang", "gram"])
     present = sorted(counted["lang"].unique())
     counts = [
         (own["gram"].to_numpy().astype(np.uint64), own["n"].to_numpy(np.float64))
