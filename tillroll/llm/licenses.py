@@ -1,5 +1,8 @@
 """Licence texts, notices and equivalent spellings (public standard texts)."""
 
+import re
+from pathlib import Path
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -98,8 +101,35 @@ WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
 See the License for the specific language governing permissions and
 limitations under the License."""
 
+# Entire licences of some length, one file each, named by licence id.
+_TEXTS = Path(__file__).with_name("license_texts")
+_APPENDIX = "END OF TERMS AND CONDITIONS"
+
+
+def _entire(text: str) -> list[str]:
+    """A licence as it circulates: with its appendix, without, and without the line before it."""
+    terms, mark, _ = text.partition(_APPENDIX)
+    return [text, terms + mark, terms] if mark else [text]
+
+
+# Ways to write one and the same thing in more than one word.
+_VARIANTS = [
+    (r"\bnon(?:[\s-]+)?infringement\b", ("noninfringement", "non-infringement")),
+    (r"\bsub(?:[\s-]+)?(?=licen[sc])", ("sub", "sub-")),
+    (r"\bcopyright\s+(?:holder|owner)(?=s?\b)", ("copyright holder", "copyright owner")),
+]
+
+
+def _spelled(text: str) -> list[str]:
+    """A text in all its spellings by ``_VARIANTS``, each used throughout the text."""
+    out = [text]
+    for pattern, forms in _VARIANTS:
+        out = [re.sub(pattern, form, t, flags=re.IGNORECASE) for t in out for form in forms]
+    return list(dict.fromkeys([text, *out]))
+
+
 # (license_id, text): entire licences, then one-line notices.
-KNOWN = [
+_BASIC = [
     ("MIT", MIT),
     ("MIT", "MIT License\n\n" + MIT),
     ("MIT", "The MIT License (MIT)\n\n" + MIT),
@@ -122,6 +152,10 @@ KNOWN = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
 ]
 
+KNOWN = [(name, t) for name, text in _BASIC for t in _spelled(text)] + [
+    (f.stem, t) for f in sorted(_TEXTS.glob("*.txt")) for t in _entire(f.read_text(encoding="utf-8"))
+]
+
 # Words that count as the same word when licence texts are compared.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
