@@ -20,7 +20,7 @@ def test_all_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
 
 
@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, sf_dir, key):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = queries.QUERIES[key](spark, sf_dir)
     cur = con.execute(queries.ORACLE_SQL[key])

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.session import fresh_dir
@@ -66,3 +71,39 @@ def windows(data: np.ndarray, n: int, count: int) -> np.ndarray:
         out <<= np.uint64(8)
         out |= data[k : k + count]
     return out
+
+
+def give_back() -> None:
+    """Hand the memory that this Python worker no longer uses back to the machine.
+
+    Workers outlive tasks; without this, each keeps the most that any of its tasks took.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+# The module under which an operator keeps something from task to task in a worker.
+KEPT = "_tillroll_kept"
+
+
+def released(run: Callable, keep: bool = False) -> Callable:
+    """``run`` for mapInArrow, which gives memory back at a task's end.
+
+    Only tasks with ``keep`` leave in the worker what an operator has stored under
+    KEPT; any other task frees it before it starts.
+    """
+
+    @functools.wraps(run)
+    def task(batches):
+        if not keep and sys.modules.pop(KEPT, None):
+            give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task

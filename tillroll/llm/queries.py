@@ -15,12 +15,14 @@ from tillroll.llm import (
     piece_tokens,
     sharding,
     source_mix,
+    structure_repair,
     suffix_dedup,
     topk_search,
     toxicity,
 )
 from tillroll.llm.common import read_table
 from tillroll.llm.licenses import KNOWN, SPELLINGS
+from tillroll.llm.oracles import STRUCTURE_REPAIR
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +80,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repaired_damage(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_license_scan": op2_license_scan,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
+    "op11_structure_repair": op11_structure_repair,
 }
 
 
@@ -224,4 +231,5 @@ SELECT d.doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed,
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, hx))) AS kept_sha256
 FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
 """,
+    "op11_structure_repair": STRUCTURE_REPAIR,
 }
