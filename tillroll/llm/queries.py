@@ -17,6 +17,7 @@ from tillroll.llm import (
     source_mix,
     structure_repair,
     suffix_dedup,
+    token_alignment,
     topk_search,
     toxicity,
 )
@@ -84,6 +85,10 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.repaired_damage(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_license_scan": op2_license_scan,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_sharding": op10_sharding,
     "op11_structure_repair": op11_structure_repair,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 
