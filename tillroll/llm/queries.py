@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import (
     exact_dedup,
+    fingerprints,
     language_id,
     license_scan,
     near_dedup,
@@ -23,7 +24,7 @@ from tillroll.llm import (
 )
 from tillroll.llm.common import read_table
 from tillroll.llm.licenses import KNOWN, SPELLINGS
-from tillroll.llm.oracles import STRUCTURE_REPAIR
+from tillroll.llm.oracles import FINGERPRINTS, STRUCTURE_REPAIR
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.link_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.beside_next(read_table(spark, sf_dir, "documents"))
+    return rows.join(fingerprints.neighbours(rows), "fingerprint").select(*rows.columns, "n_near")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_license_scan": op2_license_scan,
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_structure_repair": op11_structure_repair,
     "op12_token_alignment": op12_token_alignment,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 
@@ -238,4 +245,5 @@ SELECT d.doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed,
 FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
 """,
     "op11_structure_repair": STRUCTURE_REPAIR,
+    "op13_fingerprints": FINGERPRINTS.replace("{RADIUS}", str(fingerprints.RADIUS)),
 }
