@@ -51,6 +51,8 @@ def test_units_agree_with_the_library(vocabulary):
     with open(piece_tokens.MODEL_FILE, "rb") as f:
         model.ParseFromString(f.read())
     model.trainer_spec.model_type = 1
+    for piece, score in zip(model.pieces, piece_tokens.log_probabilities([p.score for p in model.pieces])):
+        piece.score = score
     library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
     segmenter = piece_tokens.Segmenter(vocabulary)
     rng = random.Random(3)
@@ -65,6 +67,31 @@ def test_units_agree_with_the_library(vocabulary):
     assert same > 0.95 * len(texts)
 
 
+def test_as_few_pieces_as_the_unmodified_model(vocabulary, sf_dir):
+    """Tokens per character within 5 % of the library's own encoding, in every language."""
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_tokens.MODEL_FILE)
+    segmenter = piece_tokens.Segmenter(vocabulary)
+    fox = "The quick brown fox jumps over the lazy dog."
+    assert np.frombuffer(segmenter.encode([fox])[0], vocabulary.code).tolist() == library.encode(fox)
+    texts = {}
+    for row in pq.read_table(f"{sf_dir}/documents.parquet").to_pylist():
+        if row["text"] and row["lang"]:
+            texts.setdefault(row["lang"], []).append(row["text"])
+    wide = np.dtype(vocabulary.code).itemsize
+    for own in texts.values():
+        ours, theirs = sum(len(p) // wide for p in segmenter.encode(own)), sum(map(len, library.encode(own)))
+        assert 0.95 * theirs < ours < 1.05 * theirs
+
+
+def test_the_memo_forgets_long_units(vocabulary):
+    segmenter = piece_tokens.Segmenter(vocabulary)
+    segmenter.encode(["short words and " + "x" * 5000])
+    assert segmenter.memo and max(map(len, segmenter.memo)) <= piece_tokens.LOCKSTEP_CHARS
+
+
 def test_chunks_of_one_long_word(documents):
     """No place to cut: full matrices, entries and exits within pieces."""
     rng = random.Random(8)
@@ -120,7 +147,7 @@ def test_code_lengths_against_plain_python():
     train = {"x": [b"abracadabra banana", b"band"], "y": [b"xyz xyz zyx"]}
     counts = []
     for texts in train.values():
-        grams, n = np.unique(language_id._grams(texts)[0], return_counts=True)
+        grams, n = np.unique(language_id._led([language_id._PAD + t for t in texts])[0], return_counts=True)
         counts.append((grams, n.astype(float)))
     trees = language_id.ContextTrees(list(train), counts)
     texts = [b"banana xyz", b"q", b"abracadabra", "é".encode()]

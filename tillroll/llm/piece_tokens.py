@@ -21,6 +21,7 @@ units are solved once, many at a time.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import sys
 import types
@@ -30,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import settle
+from tillroll.llm.common import KEPT, released, settle
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 32_768
 # Characters of text in one pass; units kept solved between passes; longest unit of a pass.
 PASS_CHARS = 1 << 20
-MEMO_UNITS = 250_000
+MEMO_UNITS = 120_000
 LOCKSTEP_CHARS = 48
 
 _RESULT = "n_tokens long, ids array<int>, text_sha256 string"
@@ -47,14 +48,27 @@ _SLOT_BITS = 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def log_probabilities(scores: list[float]) -> list[float]:
+    """The scores of a unigram model as they are; those of a BPE model by Zipf's law.
+
+    A BPE model's scores are no log-probabilities but merge ranks, written 0, -1, -2,
+    ...: merges were made in the order of their pieces' frequency.  The piece of rank
+    r gets the probability 1 / ((r + 1) H), H the sum over all ranks.
+    """
+    ranks = {-s for s in scores if s < 0}
+    if len(ranks) < 2 or any(not float(s).is_integer() for s in scores):
+        return list(scores)
+    total = math.log(sum(1 / (r + 1) for r in ranks))
+    return [-math.log(max(0.0, -s) + 1) - total for s in scores]
+
+
 class Vocabulary:
     """Pieces and scores of a model file; small, and shipped with the tasks."""
 
     def __init__(self, pieces: list[str], scores: list[float], kinds: list[str]):
         self.n = len(pieces)
-        whole = all(float(s).is_integer() for s in scores)
-        # Sums must not depend on their order, so scores are integers.
-        integers = [round(s if whole else s * 1024) for s in scores]
+        # Sums must not depend on their order, so scores are integers: 1024ths.
+        integers = [round(s * 1024) for s in log_probabilities(scores)]
         self.pieces: dict[str, tuple[int, int]] = {}
         self.surface = [b""] * self.n
         self.bytes: dict[int, int] = {}
@@ -71,7 +85,7 @@ class Vocabulary:
                 self.surface[i] = text.encode()
         self.longest = max(map(len, self.pieces), default=1)
         # A character that is no piece costs more than any piece.
-        self.unknown_score = min((s for _, s in self.pieces.values()), default=0) - (10 if whole else 10 * 1024)
+        self.unknown_score = min((s for _, s in self.pieces.values()), default=0) - 10 * 1024
         self.alphabet = sorted(set("".join(self.pieces)))
         crossing = any(" " in p.lstrip(" ") for p in self.pieces)
         line = "" if "\n" in self.alphabet else "\n"
@@ -101,6 +115,7 @@ class Segmenter:
     def __init__(self, vocabulary: Vocabulary):
         v = self.v = vocabulary
         self.memo: dict[str, tuple[bytes, int]] = {}
+        self.long: list[str] = []  # the units of the memo over LOCKSTEP_CHARS
         self.codes = np.zeros(0x110000, np.int64)  # 0: in no piece
         for i, c in enumerate(v.alphabet):
             self.codes[ord(c)] = i + 1
@@ -253,6 +268,7 @@ class Segmenter:
             self.memo.update(zip(part, self._lockstep(part)))
         for u in units[long:]:
             best = self.forward(u, {0: 0}, len(u))
+            self.long.append(u)
             self.memo[u] = (np.array(self.back(u, best, len(u))[1], self.v.code).tobytes(), best[len(u)][0])
 
     def units(self, text: str) -> list[str]:
@@ -272,7 +288,15 @@ class Segmenter:
         units = [self.units(prepared(t)) if t else [] for t in texts]
         self.ready(units)
         memo = self.memo
-        return [b"".join([memo[u][0] for u in own]) for own in units]
+        out = [b"".join([memo[u][0] for u in own]) for own in units]
+        self._trim()
+        return out
+
+    def _trim(self) -> None:
+        """Forget long units, so that the memo is bounded in bytes too."""
+        for unit in self.long:
+            self.memo.pop(unit, None)
+        self.long.clear()
 
     # -- chunks of a giant document --------------------------------------------
 
@@ -357,7 +381,7 @@ def prefixes(matrices: np.ndarray) -> np.ndarray:
 
 def _segmenter(vocabulary: Vocabulary) -> Segmenter:
     """The segmenter of this Python worker; workers serve many tasks."""
-    kept = sys.modules.setdefault("_tillroll_kept", types.ModuleType("_tillroll_kept"))
+    kept = sys.modules.setdefault(KEPT, types.ModuleType(KEPT))
     tag = hashlib.md5(repr(list(vocabulary.pieces.items())).encode()).digest()
     if getattr(kept, "segmenter_tag", None) != tag:
         kept.segmenter, kept.segmenter_tag = Segmenter(vocabulary), tag
@@ -411,7 +435,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk_chars: int = CHU
                 yield from _rows(vocabulary, batch["doc_id"].slice(low, high - low), packed).to_batches()
                 low = high
 
-    solved = rows.where(F.char_length("text") <= chunk_chars).mapInArrow(small, f"doc_id {kind}, {_RESULT}")
+    solved = rows.where(F.char_length("text") <= chunk_chars).mapInArrow(released(small, keep=True), f"doc_id {kind}, {_RESULT}")
     return solved.unionByName(_giants(rows.where(F.char_length("text") > chunk_chars), vocabulary, kind, chunk_chars))
 
 
@@ -462,7 +486,7 @@ def _giants(rows: DataFrame, vocabulary: Vocabulary, kind: str, chunk_chars: int
 
     scores = (
         chunks.repartition("key", "chunk")
-        .mapInArrow(matrices, "key string, chunk int, matrix binary")
+        .mapInArrow(released(matrices, keep=True), "key string, chunk int, matrix binary")
         .groupBy("key")
         .applyInArrow(scan, "key string, chunk int, scores binary")
     )
@@ -495,7 +519,7 @@ def _giants(rows: DataFrame, vocabulary: Vocabulary, kind: str, chunk_chars: int
     whole = (
         chunks.join(scores, ["key", "chunk"])
         .select("doc_id", "key", "chunk", "size", "text", "scores")
-        .mapInArrow(backtrace, f"doc_id {kind}, key string, chunk int, exit int, entry int, ids binary")
+        .mapInArrow(released(backtrace, keep=True), f"doc_id {kind}, key string, chunk int, exit int, entry int, ids binary")
         .groupBy("key")
         .applyInArrow(join, f"key string, doc_id {kind}, {_RESULT}")
     )
