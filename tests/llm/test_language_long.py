@@ -38,3 +38,16 @@ def test_as_many_windows_as_the_share_says():
     taken = [len(language_id._windows(text, 0.013, start)) for start in np.arange(1000) / 1000]
     assert abs(np.mean(taken) - 0.013 * n) < 0.01 and max(taken) - min(taken) <= 1
     assert language_id._windows(text, 1.0, 0.5) == [language_id._PAD + text]
+
+
+def test_a_long_text_is_coded_in_pieces(monkeypatch):
+    """Pieces with the bytes before them give the code length of the whole text."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "and", "of", "house", "tree"]) for _ in range(3000)).encode() for _ in range(2)]
+    trees = language_id.ContextTrees(
+        ["a", "b"], [np.unique(language_id._led([language_id._PAD + t])[0], return_counts=True) for t in texts]
+    )
+    table = trees.table()
+    whole = trees.totals([texts[0]], table)
+    monkeypatch.setattr(language_id, "PIECE_BYTES", 1000)
+    assert np.allclose(trees.totals([texts[0]], table), whole)

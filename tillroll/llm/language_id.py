@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import slices, utf8, windows
+from tillroll.llm.common import give_back, released, slices, utf8, windows
 
 ORDER = 4
 # A language of at most this many bytes is learned whole.  Of any other, about this
@@ -30,6 +30,10 @@ WINDOW = 1024
 PART = 3
 HELD_OUT = 1
 SEED = 7
+# Bytes of a long text that are coded in one pass.
+PIECE_BYTES = 1 << 20
+# Rows of an Arrow batch whose texts are held as Python bytes at one time.
+ROWS = 512
 
 _PAD = b"\n" * ORDER
 _TABLE_BITS = 22
@@ -40,16 +44,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % PART == HELD_OUT, F.lit(False))
 
 
-def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _led(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The (ORDER + 1)-gram that ends at each byte of each text, and the texts' starts.
 
-    Every text has at least one byte; the bytes before it count as new lines.
+    Every text has at least one byte and brings the ORDER bytes before it (at its
+    own start new lines).
     """
-    return _led([_PAD + t for t in texts])
-
-
-def _led(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The same for texts that bring the ORDER bytes before them."""
     data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
     sizes = np.array([len(t) - ORDER for t in texts])
     starts = np.cumsum(sizes) - sizes
@@ -102,8 +102,18 @@ class ContextTrees:
         return rows
 
     def totals(self, texts: list[bytes], table: np.ndarray) -> np.ndarray:
-        """Code length of each whole text (of at least one byte), by language."""
-        grams, starts = _grams(texts)
+        """Code length of each whole text (of at least one byte), by language.
+
+        A long text is coded in pieces, each led by the ORDER bytes before it.
+        """
+        if len(texts) == 1 and len(texts[0]) > PIECE_BYTES:
+            whole = _PAD + texts[0]
+            parts = [whole[k : k + PIECE_BYTES + ORDER] for k in range(0, len(texts[0]), PIECE_BYTES)]
+            return sum(self._coded([part], table) for part in parts)
+        return self._coded([_PAD + t for t in texts], table)
+
+    def _coded(self, texts: list[bytes], table: np.ndarray) -> np.ndarray:
+        grams, starts = _led(texts)
         rows = table[(grams * _MULTIPLIER) >> np.uint64(64 - _TABLE_BITS)]
         bits = self.bits[rows]
         other = np.flatnonzero(self.known[rows] != grams)
@@ -143,7 +153,7 @@ def _count(batches):
 
 def _counted(rows: DataFrame) -> pd.DataFrame:
     """Gram counts by language of the drawn windows of (lang, text, share, start)."""
-    grams = rows.mapInArrow(_count, "lang int, gram long, n long")
+    grams = rows.mapInArrow(released(_count), "lang int, gram long, n long")
     return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
 
 
@@ -184,7 +194,10 @@ def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> ContextTrees:
         (own["gram"].to_numpy().astype(np.uint64), own["n"].to_numpy(np.float64))
         for own in (counted[counted["lang"] == k] for k in present)
     ]
-    return ContextTrees([langs[k] for k in present], counts)
+    trees = ContextTrees([langs[k] for k in present], counts)
+    del counted, counts
+    give_back()
+    return trees
 
 
 def _annotated(docs: DataFrame, trees: ContextTrees) -> DataFrame:
@@ -195,15 +208,17 @@ def _annotated(docs: DataFrame, trees: ContextTrees) -> DataFrame:
     def run(batches):
         table = trees.table()
         for batch in batches:
-            texts, lettered = utf8(batch["text"]), batch["_op7_letter"].to_pylist()
-            rows = [i for i, known in enumerate(lettered) if known and trees.langs]
-            best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
-            own = [texts[i] for i in rows]
-            for lo, hi in slices(own):
-                bits = trees.totals(own[lo:hi], table)
-                at = rows[lo:hi]
-                best[at] = bits.argmin(axis=1)
-                score[at] = 1.0 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0)).sum(axis=1)
+            n = batch.num_rows
+            best, score = np.full(n, len(names) - 1), np.zeros(n)
+            for first in range(0, n, ROWS):
+                lettered = batch["_op7_letter"].slice(first, ROWS).to_pylist()
+                rows = [i for i, known in enumerate(lettered) if known and trees.langs]
+                own = utf8(batch["text"].slice(first, ROWS).take(pa.array(rows, pa.int32())))
+                for lo, hi in slices(own):
+                    bits = trees.totals(own[lo:hi], table)
+                    at = [first + i for i in rows[lo:hi]]
+                    best[at] = bits.argmin(axis=1)
+                    score[at] = 1.0 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0)).sum(axis=1)
             kept = [batch[c] for c in columns]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(names[best], pa.string()), pa.array(score)], names=[*columns, "_op7_lang", "_op7_score"]
@@ -211,7 +226,7 @@ def _annotated(docs: DataFrame, trees: ContextTrees) -> DataFrame:
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     schema = T.StructType([*docs.schema.fields, T.StructField("_op7_lang", T.StringType()), T.StructField("_op7_score", T.DoubleType())])
-    return docs.withColumn("_op7_letter", letter).mapInArrow(run, schema)
+    return docs.withColumn("_op7_letter", letter).mapInArrow(released(run), schema)
 
 
 def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:

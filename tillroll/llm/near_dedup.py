@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import settle, slices, utf8
+from tillroll.llm.common import released, settle, slices, utf8
 from tillroll.llm.components import components
 
 WORDS = 5
@@ -166,7 +166,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             )
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
-        run, "doc_id long, text_key long, words long, k1 long, k2 long, bands array<long>"
+        released(run), "doc_id long, text_key long, words long, k1 long, k2 long, bands array<long>"
     )
 
 
@@ -302,7 +302,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     matched = (F.col("doc_id") == F.col("node")) & (F.col("own_key") == F.col("text_key"))
     # One shuffle of the texts at every size, whatever share of them are members.
     sets = members.hint("merge").join(texts, matched).select("root", "blocks", "block", "node", "k1", "n", "text").mapInArrow(
-        _sets, "root long, blocks int, block int, node long, k1 long, n long, shingles binary"
+        released(_sets), "root long, blocks int, block int, node long, k1 long, n long, shingles binary"
     )
     work = (
         sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
