@@ -39,7 +39,8 @@ def test_silver_filters_reach_the_scan_and_partitions_are_pruned(spark, ingested
         assert f"IsNotNull({col})" in pushed
     # Only the named partition is listed; each pattern and cast is parsed once.
     assert all("sales_1995_01.csv" in f for f in rows.inputFiles())
-    assert p.count("M/d/yyyy H:mm") == 1 and p.count("as decimal(27,10)") == 1
+    assert p.count("M/d/yyyy H:mm") == 1 and p.count("as decimal(38,18)") == 1
+    assert len(re.findall(r"UnitPrice#\d+ as double", p)) == 1
 
 
 def test_gold_reads_only_needed_columns_in_one_pass(spark, ingested):

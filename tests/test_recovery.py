@@ -82,7 +82,7 @@ def test_a_pipeline_without_any_row(spark, workdir):
 
 def test_a_line_too_large_is_rejected(spark, ansi, workdir):
     rows = [
-        row(InvoiceNo="1", Quantity="2000000000", UnitPrice="99999999999999999"),
+        row(InvoiceNo="1", Quantity="2000000000", UnitPrice="1E30"),
         row(InvoiceNo="2", Quantity="2000000000", UnitPrice="99999999999999"),
         row(InvoiceNo="3"),
     ]
@@ -101,6 +101,36 @@ def test_price_text_is_kept(spark, ansi):
     assert got == {"1": 0.04, "2": 2555.55}
 
 
+# Price text, quantity, revenue: as great and as small as a double's, exact to the cent.
+EXTREMES = [
+    ("1E18", "6", "6000000000000000000.00"),
+    ("123456789012345678", "3", "370370367037037034.00"),
+    ("99999999999999999999", "2000000000", "199999999999999999998000000000.00"),
+    ("0.00000000004", "1000000000", "0.04"),
+    ("0.12345678949", "1000000000", "123456789.49"),
+    ("0.000000000000000005", "1000000000", "0.00"),
+    ("4e-20", "1", "0.00"),
+    ("2.005", "1", "2.01"),
+    ("1E25", "2", "20000000000000000000000000.00"),
+    ("1.5d", "2", "3.00"),
+]
+
+
+@pytest.mark.parametrize(("price", "quantity", "want"), EXTREMES)
+def test_any_price_of_a_double(spark, ansi, price, quantity, want):
+    from helpers import bronze_df
+
+    got = silver.with_reject_reason(bronze_df(spark, [row(Quantity=quantity, UnitPrice=price)])).first()
+    assert got.reject_reason is None and str(got.Revenue) == want and got.UnitPrice == float(price.rstrip("d"))
+
+
+@pytest.mark.parametrize(("price", "reason"), [("1E300", "bad_revenue"), ("Infinity", "bad_price"), ("-Infinity", "bad_price"), ("1E400", "bad_price"), ("1e-400", "bad_price")])
+def test_prices_that_no_total_can_hold(spark, ansi, price, reason):
+    from helpers import bronze_df
+
+    assert silver.with_reject_reason(bronze_df(spark, [row(UnitPrice=price)])).first().reject_reason == reason
+
+
 def test_missing_layers_are_errors(spark, workdir):
     layout = Layout(f"{workdir}/typo")
     for step in (pipeline.transform_silver, pipeline.build_gold, pipeline.ingest_bronze, pipeline.preview):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.schemas import PRICE_TYPE, REVENUE_TYPE, TIMESTAMP_LAYOUTS
+from tillroll.schemas import EXACT_PRICE_TYPE, PRICE_TYPE, REVENUE_TYPE, TIMESTAMP_LAYOUTS
 
 
 def _col(c) -> Column:
@@ -28,10 +28,18 @@ def parse_quantity(c) -> Column:
 
 
 def parse_price(c) -> Column:
-    """Price text to an exact decimal; NaN, thousands separators, words -> NULL."""
+    """Price text to a double; thousands separators, words -> NULL."""
     return _col(c).try_cast(PRICE_TYPE)
 
 
+def parse_exact_price(c) -> Column:
+    """Price text to an exact decimal, its digits beyond the 18th after the point rounded.
+
+    NULL for text that is no number and for prices of 10^20 and more.
+    """
+    return _col(c).try_cast(EXACT_PRICE_TYPE)
+
+
 def canonical_customer_id(c) -> Column:
     """'17850.0' -> '17850': read as a number, drop the fraction, back to text."""
     return _col(c).try_cast("double").try_cast("bigint").cast("string")
@@ -64,12 +72,19 @@ def parse_invoice_timestamp(c) -> Column:
     return F.coalesce(*attempts)
 
 
-def revenue(quantity, unit_price) -> Column:
+def revenue(quantity, unit_price, exact_price) -> Column:
     """Line revenue, rounded half-up to cents before any aggregation.
 
-    NULL if it has more digits than REVENUE_TYPE: a line to reject, not an error.
+    The whole part of the exact price is multiplied without rounding, the rest is
+    rounded after it: the sum is the exact product to the cent.  A price too great to
+    be exact is multiplied as a double, as far from its cents as it is.  NULL if the
+    revenue has more digits than REVENUE_TYPE: a line to reject, not an error.
     """
-    return F.round(_col(quantity) * _col(unit_price), 2).try_cast(REVENUE_TYPE)
+    quantity, price, exact = _col(quantity), _col(unit_price), _col(exact_price)
+    rest = exact % F.lit(1).cast("decimal(1,0)")
+    whole = (exact - rest).cast("decimal(20,0)")
+    precise = (quantity * whole + F.round(quantity * rest, 2)).try_cast(REVENUE_TYPE)
+    return F.when(exact.isNull(), F.round(quantity * price, 2).try_cast(REVENUE_TYPE)).otherwise(precise)
 
 
 def week_start(ts) -> Column:

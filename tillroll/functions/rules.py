@@ -3,6 +3,7 @@ reject report, so the two can never disagree."""
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,7 +23,8 @@ def _rules() -> list[tuple[str, Column]]:
         ~F.col("InvoiceNo").startswith(CANCELLED_PREFIX),
         F.col("StockCode").isNotNull(),
         F.col("Quantity") > 0,
-        F.col("UnitPrice") > 0,
+        # Above all numbers there are only infinity and NaN.
+        (F.col("UnitPrice") > 0) & (F.col("UnitPrice") <= sys.float_info.max),
         F.col("InvoiceTimestamp").isNotNull(),
         F.col("Revenue").isNotNull(),
     ]

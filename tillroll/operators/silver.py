@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.parsing import (
     canonical_customer_id,
+    parse_exact_price,
     parse_invoice_timestamp,
     parse_price,
     parse_quantity,
@@ -16,6 +17,9 @@ from tillroll.functions.parsing import (
 from tillroll.functions.rules import keep_condition, reject_reason
 from tillroll.schemas import INGESTED_AT, RAW_COLUMNS, SILVER_COLUMNS, SILVER_PROCESSED_AT, SOURCE_FILE
 
+# The price text as an exact decimal, only while the revenue is worked out.
+EXACT_PRICE = "_exact_price"
+
 
 def typed(bronze: DataFrame) -> DataFrame:
     """All bronze rows with typed columns and Revenue (nothing dropped yet).
@@ -33,11 +37,12 @@ def typed(bronze: DataFrame) -> DataFrame:
         F.col("InvoiceDate"),
         parse_invoice_timestamp("InvoiceDate").alias("InvoiceTimestamp"),
         parse_price("UnitPrice").alias("UnitPrice"),
+        parse_exact_price("UnitPrice").alias(EXACT_PRICE),
         canonical_customer_id("CustomerID").alias("CustomerID"),
         trim_spaces("Country").alias("Country"),
     )
     rows = bronze.select(*kept, F.inline(F.array(parsed)))
-    return rows.withColumn("Revenue", revenue("Quantity", "UnitPrice"))
+    return rows.withColumn("Revenue", revenue("Quantity", "UnitPrice", EXACT_PRICE)).drop(EXACT_PRICE)
 
 
 def with_reject_reason(bronze: DataFrame) -> DataFrame:

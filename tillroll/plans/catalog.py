@@ -196,6 +196,31 @@ def q_silver_typed(spark, sf_dir):
     )
 
 
+def q_price_extremes(spark, sf_dir):
+    """Every line with a price of another size: 10^13 and more, long whole numbers, the
+    16th digit after the point, 11 digits after it; its price and exact revenue."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    number, order = F.col("l_partkey").cast("string"), F.col("l_orderkey").cast("string")
+    prices = (
+        F.concat(number, F.lit("E13")),
+        F.concat(order, F.lit("123456789012")),
+        F.concat(F.lit("0.0000000000"), F.lpad(number, 6, "0")),
+        F.concat(number, F.lit("."), F.lpad(order, 11, "0")),
+    )
+    kind, quantity = F.col("l_linenumber") % 4, F.col("l_quantity").cast("int")
+    price = reduce(lambda c, k: c.when(kind == k, prices[k]), range(4), F)
+    raw = {
+        "InvoiceNo": F.concat(order, F.lit("-"), F.col("l_linenumber").cast("string")),
+        "StockCode": number,
+        "Quantity": F.when(kind < 2, quantity).otherwise(quantity * 10_000_000).cast("string"),
+        "InvoiceDate": F.lit("2010-12-01 08:26:00"),
+        "UnitPrice": price,
+    }
+    rows = lines.select(*[raw.get(c, F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS])
+    rows = rows.withColumns({CORRUPT_COLUMN: F.lit(None).cast("string"), SOURCE_FILE: F.lit("sales_2010_12.csv")})
+    return silver.clean(layers.to_bronze(rows)).select("InvoiceNo", "Quantity", "UnitPrice", F.col("Revenue").cast("string").alias("Revenue"))
+
+
 def q_silver_clean(spark, sf_dir):
     return _silver_out(_silver(spark, sf_dir))
 
@@ -351,7 +376,7 @@ def q_increment_edge_cases(spark, sf_dir):
     pipeline.run_increment(spark, layout)
     cancelled = lines.where(F.col(SOURCE_FILE) == files[-2]).withColumn("InvoiceNo", F.lit("C1"))
     too_large = lines.where(F.col(SOURCE_FILE) == files[-1]).withColumns(
-        {"Quantity": F.lit("2000000000"), "UnitPrice": F.lit("99999999999999999")}
+        {"Quantity": F.lit("2000000000"), "UnitPrice": F.lit("1E30")}
     )
     for rows in (cancelled, too_large):
         landing.write_csv(rows, layout.landing)
@@ -424,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "serve_country": _served("revenue_by_country"),
     "silver_typed": q_silver_typed,
     "silver_clean": q_silver_clean,
+    "price_extremes": q_price_extremes,
     "parse_timestamps": q_parse_timestamps,
     "reject_reasons": q_reject_reasons,
     "stage_counts": q_stage_counts,

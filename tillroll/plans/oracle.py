@@ -168,6 +168,28 @@ ORACLE_SQL = {
                CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country, _source_file
         FROM typed"""),
     "silver_clean": _q(_SILVER_OUT),
+    # Whole cents as integers: nothing is rounded but the product.
+    "price_extremes": """
+        WITH l AS (
+            SELECT *, l_linenumber % 4 AS kind, CAST(CAST(l_quantity AS INTEGER) AS HUGEINT) AS q,
+                   CAST(l_partkey AS HUGEINT) AS pk, CAST(l_orderkey AS HUGEINT) AS ok FROM lineitem
+        ), c AS (
+            SELECT *, CASE kind
+                WHEN 0 THEN q * pk * 10000000000000 * 100
+                WHEN 1 THEN q * (ok * 1000000000000 + 123456789012) * 100
+                WHEN 2 THEN (q * 10000000 * pk * 200 + 10000000000000000) // 20000000000000000
+                ELSE q * 10000000 * pk * 100 + (q * 10000000 * ok * 200 + 100000000000) // 200000000000 END AS cents
+            FROM l
+        )
+        SELECT l_orderkey || '-' || l_linenumber AS InvoiceNo,
+               CAST(CASE WHEN kind < 2 THEN q ELSE q * 10000000 END AS INTEGER) AS Quantity,
+               CASE kind
+                   WHEN 0 THEN CAST(pk * 10000000000000 AS DOUBLE)
+                   WHEN 1 THEN CAST(ok * 1000000000000 + 123456789012 AS DOUBLE)
+                   WHEN 2 THEN CAST(pk AS DOUBLE) / 1e16
+                   ELSE CAST(pk * 100000000000 + ok AS DOUBLE) / 1e11 END AS UnitPrice,
+               (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS Revenue
+        FROM c WHERE q > 0""",
     "parse_timestamps": _q("""
         SELECT InvoiceTimestamp, CAST(count(*) AS BIGINT) AS rows FROM typed GROUP BY 1"""),
     "reject_reasons": _q("""

@@ -42,11 +42,12 @@ RAW_READ_SCHEMA = T.StructType(
 
 BRONZE_COLUMNS = RAW_COLUMNS + [CORRUPT_COLUMN, INGESTED_AT, SOURCE_FILE]
 
-# Money is exact inside the pipeline and published as DOUBLE in gold.  A price keeps
-# 17 digits before and 10 after the point; times an INT quantity that is the widest
-# product Spark holds without cutting decimals.  Only the product is rounded.
-PRICE_TYPE = T.DecimalType(27, 10)
-REVENUE_TYPE = T.DecimalType(28, 2)
+# Money is exact inside the pipeline and published as DOUBLE in gold.  A price column is
+# a DOUBLE; revenue is taken from the price text as a decimal of 20 digits before the
+# point and 18 after, and only the product with the quantity is rounded.
+PRICE_TYPE = T.DoubleType()
+EXACT_PRICE_TYPE = T.DecimalType(38, 18)
+REVENUE_TYPE = T.DecimalType(34, 2)
 
 SILVER_COLUMNS = [
     "InvoiceNo",
