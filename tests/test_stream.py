@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import bronze as layers
 from tillroll.operators import gold
-from tillroll.plans import catalog
+from tillroll.plans import catalog, pipeline
 from tillroll.plans.pipeline import Layout
 from tillroll.sources import landing
 from tillroll.sources.fixture import sales_lines
@@ -44,7 +44,7 @@ def test_stream_equals_batch_and_rerun_reads_nothing(spark, workdir):
     batch_silver = catalog._silver(spark, SF)
     cols = ["InvoiceNo", "StockCode", "Quantity", "Revenue", "_source_file"]
     assert _bag(layers.read_silver(spark, layout.silver).select(cols)) == _bag(batch_silver.select(cols))
-    weekly = spark.read.parquet(layout.gold_table("weekly_revenue"))
+    weekly = pipeline.read_gold(spark, layout)["weekly_revenue"]
     assert _bag(weekly.select("WeekStartDate", "WeeklyRevenue")) == _bag(gold.weekly_revenue(batch_silver))
 
 

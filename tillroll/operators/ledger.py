@@ -8,6 +8,8 @@ crash in between makes the retry redo the file (idempotently, see
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,20 +17,25 @@ from tillroll.operators.joins import join_small
 from tillroll.sources.tables import read_files
 from tillroll.schemas import LEDGER_SCHEMA
 
+# Options that read a ledger: its files lie one folder down.
+NESTED = {"recursiveFileLookup": "true"}
+
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger rows; an absent ledger reads as empty."""
-    return read_files(spark, LEDGER_SCHEMA, path, empty_if_missing=True)
+    return read_files(spark, LEDGER_SCHEMA, path, empty_if_missing=True, **NESTED)
 
 
 def record_names(spark: SparkSession, names: list[str], path: str) -> None:
-    """Append a (small, distinct) list of names taken from the metadata, as one file."""
+    """Append a (small, distinct) list of names taken from the metadata, as one file.
+
+    Each has a folder of its own: runs that append at the same time share nothing.
+    """
     (
         spark.createDataFrame([(n,) for n in names], "source_file string")
         .coalesce(1)
         .withColumn("processed_at", F.current_timestamp())
-        .write.mode("append")
-        .parquet(path)
+        .write.parquet(f"{path}/{uuid.uuid4().hex}")
     )
 
 

@@ -23,11 +23,11 @@ from tillroll.plans import pipeline
 from tillroll.plans.oracle import FIRST_BATCH_LAST_FILE
 from tillroll.plans.pipeline import Layout
 from tillroll.plans.serving import serve, table_counts
-from tillroll.schemas import CORRUPT_COLUMN, GOLD_DDL, RAW_COLUMNS, SOURCE_FILE
+from tillroll.schemas import CORRUPT_COLUMN, RAW_COLUMNS, SOURCE_FILE
 from tillroll.session import fresh_dir, pinned, shared_root
 from tillroll.sources import landing
 from tillroll.sources.fixture import sales_lines
-from tillroll.sources.tables import read_files, table
+from tillroll.sources.tables import table
 from tillroll.streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,7 +422,7 @@ def q_stream_silver(spark, sf_dir):
 
 def q_stream_weekly(spark, sf_dir):
     layout = _streamed(spark, sf_dir, "weekly")
-    return read_files(spark, GOLD_DDL["weekly_revenue"], layout.gold_table("weekly_revenue"))
+    return pipeline.read_gold(spark, layout)["weekly_revenue"]
 
 
 def _utc(query: Query) -> Query:

@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from tillroll.functions.naming import month_file_name
 from tillroll.functions.parsing import parse_invoice_timestamp
 from tillroll.operators import bronze as layers
-from tillroll.operators import gold, ledger, silver
+from tillroll.operators import gold, ledger, silver, versions
+from tillroll.operators.claims import claimed
 from tillroll.operators.joins import is_small, join_small
 from tillroll.plans.serving import GOLD_TABLE_NAMES
 from tillroll.schemas import CORRUPT_COLUMN, GOLD_DDL, RAW_READ_SCHEMA, SOURCE_FILE, TOP_K
 from tillroll.session import pinned
-from tillroll.sources import landing
+from tillroll.sources import landing, storage
 from tillroll.sources.tables import read_files
 
 # Source files handled per round; a larger backlog takes several rounds.
@@ -59,14 +60,6 @@ class Layout:
     def gold(self) -> str:
         return self._p("gold")
 
-    @property
-    def gold_totals(self) -> str:
-        return f"{self.gold}/_totals"
-
-    @property
-    def gold_built_from(self) -> str:
-        return f"{self.gold}/_built_from"
-
     @property
     def gold_partials(self) -> str:
         return self._p("gold_partials")
@@ -79,22 +72,22 @@ class Layout:
     def silver_ledger(self) -> str:
         return self._p("ledger/silver_processed_files")
 
-    def gold_table(self, key: str) -> str:
-        return f"{self.gold}/{GOLD_TABLE_NAMES[key]}"
+    def claims(self, step: str) -> str:
+        return self._p(f"claims/{step}")
 
 
 TOTALS_SCHEMA = (
     "WeekStartDate DATE, StockCode STRING, Description STRING, CustomerID STRING, "
     "Country STRING, revenue DECIMAL(38,2), quantity BIGINT, grain STRING"
 )
-# Which silver files the gold tables hold: their number, and the sum of the names' hashes.
-BUILT_FROM_SCHEMA = "files BIGINT, names DECIMAL(38,0)"
 PARTIALS_SCHEMA = f"{TOTALS_SCHEMA}, {SOURCE_FILE} STRING"
 
 
 def init_layout(spark: SparkSession, layout: Layout) -> None:
-    """Create empty bronze, silver, totals and ledger tables where there are none
-    (``mode('ignore')`` = CREATE TABLE IF NOT EXISTS)."""
+    """Create empty bronze, silver, totals and ledger tables where there are none.
+
+    Looks first, which costs no job; of several runs that start a base one creates it.
+    """
     tables = (
         (layers.BRONZE_SCHEMA, layout.bronze, True),
         (layers.SILVER_SCHEMA, layout.silver, True),
@@ -102,11 +95,18 @@ def init_layout(spark: SparkSession, layout: Layout) -> None:
         (ledger.LEDGER_SCHEMA, layout.bronze_ledger, False),
         (ledger.LEDGER_SCHEMA, layout.silver_ledger, False),
     )
-    for schema, path, partitioned in tables:
-        writer = spark.createDataFrame([], schema).coalesce(1).write.mode("ignore")
-        if partitioned:
-            writer = writer.partitionBy(SOURCE_FILE)
-        writer.parquet(path)
+
+    def absent() -> list[tuple]:
+        return [t for t in tables if not storage.listed(spark, t[1])]
+
+    if not absent():
+        return
+    with claimed(spark, layout.claims("init"), ["init"]) as own:
+        for schema, path, partitioned in absent() if own else ():
+            writer = spark.createDataFrame([], schema).coalesce(1).write.mode("ignore")
+            if partitioned:
+                writer = writer.partitionBy(SOURCE_FILE)
+            writer.parquet(path)
 
 
 def _names(df: DataFrame, col: str, limit: int) -> list[str]:
@@ -147,6 +147,20 @@ def _ingest(spark: SparkSession, layout: Layout, names: list[str]) -> dict:
     return {"files": len(names), "rows": written["rows"], "corrupt_rows": written["corrupt_rows"]}
 
 
+def _still_new(spark: SparkSession, names: list[str], ledger_path: str) -> list[str]:
+    """Those of a few names that the ledger does not hold by now."""
+    rows = ledger.read_ledger(spark, ledger_path).where(F.col("source_file").isin(names)).select("source_file").distinct()
+    done = {r[0] for r in rows.collect()} if names else set()
+    return [n for n in names if n not in done]
+
+
+def _ingest_claimed(spark: SparkSession, layout: Layout, names: list[str]) -> dict:
+    """Ingest those of the names that no other run takes or has taken."""
+    with claimed(spark, layout.claims("bronze"), names) as own:
+        new = _still_new(spark, own, layout.bronze_ledger)
+        return _ingest(spark, layout, new) if new else {"files": 0, "rows": 0, "corrupt_rows": 0}
+
+
 def _add(totals: dict, more: dict) -> None:
     for key, value in more.items():
         totals[key] += value
@@ -162,7 +176,7 @@ def ingest_bronze(spark: SparkSession, layout: Layout, max_files: int = MAX_FILE
         new = new_landing_files(spark, layout)  # a missing landing zone is an error
         init_layout(spark, layout)
         for names in _rounds(new, max_files):
-            _add(totals, _ingest(spark, layout, names))
+            _add(totals, _ingest_claimed(spark, layout, names))
     return totals
 
 
@@ -170,9 +184,7 @@ def ingest_files(spark: SparkSession, layout: Layout, names: list[str]) -> dict:
     """Ingest those of the named landing entries that bronze has not seen yet."""
     with pinned(spark):
         init_layout(spark, layout)
-        named = spark.createDataFrame([(n,) for n in names], "source_file string")
-        new = _names(ledger.unprocessed(named, ledger.read_ledger(spark, layout.bronze_ledger)), "source_file", len(names))
-        return _ingest(spark, layout, new) if new else {"files": 0, "rows": 0, "corrupt_rows": 0}
+        return _ingest_claimed(spark, layout, sorted(n for n in set(names) if n is not None))
 
 
 def unprocessed_bronze_files(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -224,18 +236,22 @@ def new_landing_rows(spark: SparkSession, layout: Layout, max_names: int = MAX_F
 
 
 def transform_silver(spark: SparkSession, layout: Layout, max_files: int = MAX_FILES_PER_ROUND) -> dict:
-    """Clean the bronze rows of files silver has not seen yet."""
+    """Clean the bronze rows of files silver has not seen yet.
+
+    A file that another run is cleaning is left to it.
+    """
     totals = {"files": 0, "rows_in": 0, "rows_out": 0}
     with pinned(spark):
         for candidates in _rounds(unprocessed_bronze_files(spark, layout), max_files):
-            names = layers.present(spark, layout.bronze, candidates)
-            if not names:
-                continue
-            rows = incremental_bronze(spark, layout, names)
-            layers.write_layer(silver.clean(rows), layout.silver)
-            written = write_partials(spark, layout, names)
-            ledger.record_names(spark, names, layout.silver_ledger)
-            _add(totals, {"files": len(names), "rows_in": rows.count(), "rows_out": written})
+            with claimed(spark, layout.claims("silver"), layers.present(spark, layout.bronze, candidates)) as own:
+                names = _still_new(spark, own, layout.silver_ledger)
+                if not names:
+                    continue
+                rows = incremental_bronze(spark, layout, names)
+                layers.write_layer(silver.clean(rows), layout.silver)
+                written = write_partials(spark, layout, names)
+                ledger.record_names(spark, names, layout.silver_ledger)
+                _add(totals, {"files": len(names), "rows_in": rows.count(), "rows_out": written})
     return totals
 
 
@@ -251,7 +267,7 @@ def write_partials(spark: SparkSession, layout: Layout, names: list[str]) -> int
 
 
 def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K, from_partials: bool = True) -> None:
-    """Rebuild the four gold tables (empty ones if silver has no row).
+    """Build the four gold tables anew (empty ones if silver has no row) and publish them.
 
     ``from_partials`` (default): add up the per-file partial totals that each
     silver round leaves behind -- work grows with the number of files and
@@ -261,52 +277,65 @@ def build_gold(spark: SparkSession, layout: Layout, k: int = TOP_K, from_partial
     The grain totals are written first (partitioned by grain): that cuts the
     lineage, and each published table then reads only its own partition.
 
-    What gold was built from is recorded after all tables, and struck out before
-    the first is replaced: a build that breaks off counts as none.
+    Readers keep the version before until all four tables are there; a build that
+    breaks off changes nothing.  With the tables goes what they were built from.
     """
     with pinned(spark):
         rows = layers.read_silver(spark, layout.silver)  # missing silver is an error
         source = _silver_state(spark, layout)  # before the totals are listed: never more than they hold
-        _record_built(spark, layout, (-1, 0))
+        base = versions.current(spark, layout.gold)
+        folder = versions.new_folder(layout.gold)
         if from_partials:
             whole = gold.merge_totals(read_files(spark, PARTIALS_SCHEMA, layout.gold_partials))
         else:
             whole = gold.totals(rows)
-        whole.write.mode("overwrite").partitionBy("grain").parquet(layout.gold_totals)
-        saved = read_files(spark, TOTALS_SCHEMA, layout.gold_totals)
+        whole.write.partitionBy("grain").parquet(f"{folder}/_totals")
+        saved = read_files(spark, TOTALS_SCHEMA, f"{folder}/_totals")
+        tables = {}
         for key, df in gold.gold_tables(saved, k).items():
-            df.write.mode("overwrite").parquet(layout.gold_table(key))
-        _record_built(spark, layout, source)
+            tables[key] = f"{folder}/{GOLD_TABLE_NAMES[key]}"
+            df.write.parquet(tables[key])
+        versions.publish(spark, layout.gold, tables, source, base)
+        versions.retire(spark, layout.gold)
+
+
+def publish_gold_table(spark: SparkSession, layout: Layout, key: str, df: DataFrame) -> None:
+    """Publish one gold table in a new version beside the present others.
+
+    The version still counts as built from what the others were.
+    """
+    where = f"{versions.new_folder(layout.gold)}/{GOLD_TABLE_NAMES[key]}"
+    df.write.parquet(where)
+    base = versions.current(spark, layout.gold)
+    versions.publish(spark, layout.gold, {key: where}, base.source if base else (-1, 0), base)
+    versions.retire(spark, layout.gold)
 
 
 def _silver_state(spark: SparkSession, layout: Layout) -> tuple:
-    """The silver ledger as a set of names, in two numbers."""
+    """The silver ledger as a set of names, in two numbers: how many, and their hashes' sum."""
     names = ledger.read_ledger(spark, layout.silver_ledger).select("source_file").distinct()
     digest = F.coalesce(F.sum(F.xxhash64("source_file").cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
-    return tuple(names.agg(F.count(F.lit(1)), digest).first())
-
-
-def _record_built(spark: SparkSession, layout: Layout, source: tuple) -> None:
-    files, names = source
-    row = spark.range(1).select(F.lit(files).cast("bigint").alias("files"), F.lit(str(names)).cast("decimal(38,0)").alias("names"))
-    row.write.mode("overwrite").parquet(layout.gold_built_from)
+    files, hashes = names.agg(F.count(F.lit(1)), digest).first()
+    return files, int(hashes)
 
 
 def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The four published tables; empty before the first build."""
-    return {k: read_files(spark, ddl, layout.gold_table(k), empty_if_missing=True) for k, ddl in GOLD_DDL.items()}
+    """The four published tables of one version; empty before the first build.
+
+    What is published later does not show in them: read again.
+    """
+    now = versions.current(spark, layout.gold)
+    tables = now.tables if now else {}
+    return {
+        key: read_files(spark, ddl, tables[key]) if key in tables else spark.createDataFrame([], ddl)
+        for key, ddl in GOLD_DDL.items()
+    }
 
 
 def _gold_built(spark: SparkSession, layout: Layout) -> bool:
     """Whether all gold tables are there and hold exactly the files of the silver ledger."""
-    try:
-        built = read_files(spark, BUILT_FROM_SCHEMA, layout.gold_built_from).first()
-        read_files(spark, TOTALS_SCHEMA, layout.gold_totals)
-        for key, ddl in GOLD_DDL.items():
-            read_files(spark, ddl, layout.gold_table(key))
-    except FileNotFoundError:
-        return False
-    return built is not None and tuple(built) == _silver_state(spark, layout)
+    now = versions.current(spark, layout.gold)
+    return now is not None and set(GOLD_DDL) <= set(now.tables) and now.source == _silver_state(spark, layout)
 
 
 def run_increment(spark: SparkSession, layout: Layout) -> dict:
@@ -403,26 +432,35 @@ def register_views(spark: SparkSession, layout: Layout, prefix: str = "") -> lis
 
 
 def publish_tables(spark: SparkSession, layout: Layout, database: str) -> list[str]:
-    """Create the database and its eight tables in the session's catalog if absent.
+    """Create the database and its eight tables in the session's catalog, or bring them up to date.
 
-    The tables are external: they point at the pipeline's folders, so a later
-    increment shows in them (bronze and silver partitions after publishing again).
-    Returns the qualified names.
+    The tables are external.  Publishing again adds new bronze and silver partitions,
+    points the gold tables at the current version, and replaces the entry (never the
+    data) of a table whose columns have changed.  Returns the qualified names.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    now = versions.current(spark, layout.gold)
+    current = now.tables if now else {}
     paths = {
         "bronze_online_retail": (layout.bronze, layers.BRONZE_SCHEMA, True),
         "silver_online_retail": (layout.silver, layers.SILVER_SCHEMA, True),
         "bronze_processed_files": (layout.bronze_ledger, ledger.LEDGER_SCHEMA, False),
         "silver_processed_files": (layout.silver_ledger, ledger.LEDGER_SCHEMA, False),
-    } | {GOLD_TABLE_NAMES[key]: (layout.gold_table(key), ddl, False) for key, ddl in GOLD_DDL.items()}
+    } | {name: (current.get(key, f"{layout.gold}/none/{name}"), GOLD_DDL[key], False) for key, name in GOLD_TABLE_NAMES.items()}
     names = []
     for table, (path, schema, partitioned) in paths.items():
         name = f"`{database}`.`{table}`"
         columns = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         by = f" PARTITIONED BY (`{SOURCE_FILE}`)" if partitioned else ""
+        nested = "" if partitioned else " OPTIONS (recursiveFileLookup 'true')"
         location = path.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by} LOCATION '{location}'")
+        if spark.catalog.tableExists(name):
+            want = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema}
+            if {f.name: f.dataType for f in spark.table(name).schema} != want:
+                spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{nested}{by} LOCATION '{location}'")
+        if table in GOLD_TABLE_NAMES.values():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         if partitioned:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         spark.catalog.refreshTable(name)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll.functions.naming import landing_label
 from tillroll.operators import gold
 from tillroll.operators.bronze import SILVER_SCHEMA
+from tillroll.operators.ledger import NESTED
 from tillroll.plans import pipeline
 from tillroll.plans.pipeline import Layout
 from tillroll.schemas import LEDGER_SCHEMA, SILVER_COLUMNS
@@ -52,7 +53,7 @@ def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger
 
 def ledger_stream(spark: SparkSession, ledger_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Names of source files as a layer completes them."""
-    return _file_stream(spark, max_files_per_trigger).schema(LEDGER_SCHEMA).parquet(ledger_path).select("source_file")
+    return _file_stream(spark, max_files_per_trigger).options(**NESTED).schema(LEDGER_SCHEMA).parquet(ledger_path).select("source_file")
 
 
 def _start(df: DataFrame, checkpoint: str, step, trigger: dict | None) -> StreamingQuery:
@@ -99,7 +100,7 @@ def start_weekly(spark: SparkSession, layout: Layout, checkpoint: str, trigger:
         if not batch.isEmpty():
             partials = read_files(batch.sparkSession, pipeline.PARTIALS_SCHEMA, layout.gold_partials)
             weekly = gold.gold_table(gold.merge_totals(partials.where("grain = 'weekly'")), "weekly_revenue")
-            weekly.write.mode("overwrite").parquet(layout.gold_table("weekly_revenue"))
+            pipeline.publish_gold_table(batch.sparkSession, layout, "weekly_revenue", weekly)
 
     with pinned(spark):
         return _start(ledger_stream(spark, layout.silver_ledger), checkpoint, step, trigger)
