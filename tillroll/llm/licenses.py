@@ -112,32 +112,26 @@ def _entire(text: str) -> list[str]:
     return [text, terms + mark, terms] if mark else [text]
 
 
-# Ways to write one and the same thing in more than one word.
-_VARIANTS = [
-    (r"\bnon(?:[\s-]+)?infringement\b", ("noninfringement", "non-infringement")),
-    (r"\bsub(?:[\s-]+)?(?=licen[sc])", ("sub", "sub-")),
-    (r"\bcopyright\s+(?:holder|owner)(?=s?\b)", ("copyright holder", "copyright owner")),
-]
-
-
-def _spelled(text: str) -> list[str]:
-    """A text in all its spellings by ``_VARIANTS``, each used throughout the text."""
-    out = [text]
-    for pattern, forms in _VARIANTS:
-        out = [re.sub(pattern, form, t, flags=re.IGNORECASE) for t in out for form in forms]
-    return list(dict.fromkeys([text, *out]))
-
+BSD_2 = _BSD_HEAD + _BSD_TAIL
+BSD_3 = _BSD_HEAD + _BSD_THIRD + _BSD_TAIL
+
+# Headings under which the short licences are published.
+_HEADED = {
+    "MIT": (MIT, ("MIT License", "The MIT License", "The MIT License (MIT)")),
+    "ISC": (ISC, ("ISC License", "The ISC License", "ISC License (ISC)")),
+    "0BSD": (ZERO_BSD, ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD 0-Clause License")),
+    "BSD-2-Clause": (BSD_2, ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License")),
+    "BSD-3-Clause": (BSD_3, ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License")),
+    "Zlib": (ZLIB, ("zlib License", "The zlib License", "The zlib/libpng License")),
+}
 
 # (license_id, text): entire licences, then one-line notices.
 _BASIC = [
     ("MIT", MIT),
-    ("MIT", "MIT License\n\n" + MIT),
-    ("MIT", "The MIT License (MIT)\n\n" + MIT),
     ("ISC", ISC),
-    ("ISC", "ISC License\n\n" + ISC),
     ("0BSD", ZERO_BSD),
-    ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL),
-    ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
+    ("BSD-2-Clause", BSD_2),
+    ("BSD-3-Clause", BSD_3),
     ("Zlib", ZLIB),
     ("Apache-2.0", APACHE_NOTICE),
     ("MIT", "Released under the MIT License."),
@@ -152,10 +146,29 @@ _BASIC = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
 ]
 
-KNOWN = [(name, t) for name, text in _BASIC for t in _spelled(text)] + [
-    (f.stem, t) for f in sorted(_TEXTS.glob("*.txt")) for t in _entire(f.read_text(encoding="utf-8"))
+KNOWN = [
+    *_BASIC,
+    *((name, f"{head}\n\n{text}") for name, (text, heads) in _HEADED.items() for head in heads),
+    *((f.stem, t) for f in sorted(_TEXTS.glob("*.txt")) for t in _entire(f.read_text(encoding="utf-8"))),
 ]
 
+# Phrases that count as one and the same, written as canonical words; replaced in this order.
+PHRASES = {
+    "non infringement": "noninfringement",
+    "sub license": "sublicense",
+    "sub licenses": "sublicenses",
+    "sub licensed": "sublicensed",
+    "sub licensing": "sublicensing",
+    "sub licensable": "sublicensable",
+    "sub licensees": "sublicensees",
+    "copyright owner": "copyright holder",
+    "copyright owners": "copyright holders",
+    "per cent": "percent",
+    "non commercial": "noncommercial",
+    "non exclusive": "nonexclusive",
+    "world wide": "worldwide",
+}
+
 # Words that count as the same word when licence texts are compared.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",

@@ -23,7 +23,7 @@ from tillroll.llm import (
     toxicity,
 )
 from tillroll.llm.common import read_table
-from tillroll.llm.licenses import KNOWN, SPELLINGS
+from tillroll.llm.licenses import KNOWN, PHRASES, SPELLINGS
 from tillroll.llm.oracles import FINGERPRINTS, STRUCTURE_REPAIR
 
 
@@ -125,31 +125,43 @@ units AS (
     UNION ALL
     SELECT 3, NULL, license_id, text FROM known
 ), lines AS (
-    SELECT kind, doc_id, license_id,
-           list_filter(string_split(lower(coalesce(text, '')), chr(10)),
-                       lambda x: NOT regexp_matches(x, '^[^a-z0-9]*(copyright|copr\.|\(c\)|©|all rights reserved)')) AS kept
+    SELECT kind, doc_id, license_id, string_split(lower(coalesce(text, '')), chr(10)) AS every,
+           list_filter(every, lambda x: NOT regexp_matches(x, '{COPYRIGHT}')) AS kept
     FROM units
+), worded AS (
+    SELECT kind, doc_id, license_id, false AS whole, kept AS own FROM lines
+    UNION ALL
+    SELECT kind, doc_id, license_id, true, every FROM lines WHERE kind <> 2
+), spelled AS (
+    SELECT kind, doc_id, license_id, whole, array_to_string(list_transform(
+               string_split(trim(regexp_replace(array_to_string(own, chr(10)), '[^a-z0-9\x80-\x{10FFFF}]+', ' ', 'g')), ' '),
+               lambda w: coalesce(MAP {SPELLINGS}[w], w)), ' ') AS words
+    FROM worded
 ), forms AS (
-    SELECT kind, doc_id, license_id,
-           array_to_string(list_transform(
-               string_split(trim(regexp_replace(array_to_string(kept, chr(10)), '[^a-z0-9\x80-\x{10FFFF}]+', ' ', 'g')), ' '),
-               lambda w: coalesce(MAP {SPELLINGS}[w], w)), ' ') AS form
-    FROM lines
+    SELECT kind, doc_id, license_id, whole, trim({PHRASES}) AS form FROM spelled
 ), digests AS (
-    SELECT kind, doc_id, license_id, CASE WHEN form <> '' THEN md5(form) END AS digest FROM forms
+    SELECT kind, doc_id, license_id, whole, CASE WHEN form <> '' THEN md5(form) END AS digest FROM forms
 ), registry AS (
     SELECT digest, min(license_id) AS known_id FROM digests WHERE kind = 3 AND digest IS NOT NULL GROUP BY digest
 ), found AS (
-    SELECT d.doc_id, d.kind, d.digest, r.known_id FROM digests d LEFT JOIN registry r USING (digest) WHERE d.kind < 3
+    SELECT d.doc_id, d.kind, d.whole, d.digest, r.known_id FROM digests d LEFT JOIN registry r USING (digest) WHERE d.kind < 3
 )
 SELECT doc_id,
-       max(digest) FILTER (WHERE kind = 1) AS text_digest,
-       max(known_id) FILTER (WHERE kind = 1) AS license_id,
+       max(digest) FILTER (WHERE kind = 1 AND NOT whole) AS text_digest,
+       coalesce(max(known_id) FILTER (WHERE kind = 1 AND NOT whole), max(known_id) FILTER (WHERE kind = 1 AND whole)) AS license_id,
        coalesce(string_agg(DISTINCT known_id, ',' ORDER BY known_id) FILTER (WHERE kind = 2), '') AS notices,
        count(known_id) FILTER (WHERE kind = 2) AS n_notices
 FROM found GROUP BY doc_id
 """
 
+
+def _phrases_sql() -> str:
+    out = "' ' || words || ' '"
+    for phrase, same in PHRASES.items():
+        out = f"replace({out}, ' {phrase} ', ' {same} ')"
+    return out
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_topk_search": """
 WITH e AS (
@@ -173,7 +185,10 @@ SELECT * FROM r WHERE rank <= 20
 """,
     "op2_license_scan": _LICENSE_SQL.replace(
         "{SPELLINGS}", "{" + ", ".join(f"'{a}': '{b}'" for a, b in SPELLINGS.items()) + "}"
-    ).replace("{KNOWN}", ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)),
+    )
+    .replace("{COPYRIGHT}", license_scan.COPYRIGHT)
+    .replace("{PHRASES}", _phrases_sql())
+    .replace("{KNOWN}", ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)),
     "op3_near_dedup": r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
