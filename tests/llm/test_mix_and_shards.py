@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 
 import pytest
@@ -110,6 +111,48 @@ def test_mixed_documents(documents):
     assert max(seen.values()) <= 3 and 900 not in seen
 
 
+@pytest.mark.parametrize("giants", [1, 3])
+def test_a_source_misses_its_target_by_one_document_at_most(documents, giants):
+    """A source whose words lie in a few giant documents."""
+    rng = random.Random(giants)
+    rows = [(i, text(rng, 1 + i % 30), "en", "a") for i in range(40)]
+    rows += [(100 + i, text(rng, 6000 + 100 * i), "en", "a") for i in range(giants)]
+    rows += [(200 + i, text(rng, 50), "en", "b" if i % 2 else None) for i in range(200)]
+    docs = documents(rows)
+    sizes, got = {}, {}
+    for _, t, _, source in rows:
+        sizes.setdefault(source, []).append(len(t.split()))
+    for r in source_mix.mixed_documents(docs).collect():
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    target = {r.source: r.target for r in source_mix.taken(docs).collect()}
+    for source, own in sizes.items():
+        assert abs(got.get(source, 0) - target[source]) <= max(own) + source_mix.BLOCK_WORDS
+
+
+def test_copies_follow_the_times(spark):
+    """Over any stretch of a source's rows, copies and times differ by less than one."""
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["a", "b", None]), rng.randrange(1, 500), rng.choice([0.0, 0.4, 1.0, 1.7, 3.0])) for i in range(3000)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "_op4_id long, source string, units long, times double, _op4_n long")
+    for parts in (200, 10_000):
+        got = {r._op4_id: r for r in source_mix._copies(df, parts).collect()}
+        assert len(got) == len(rows) and all(int(t) <= got[i].copies <= int(t) + (t % 1 > 0) for i, _, _, t in rows)
+        for source in ("a", "b", None):
+            own = sorted((r for r in got.values() if r.source == source), key=lambda r: r.units)
+            for cut in (1, 10, 100, 500, len(own)):
+                large = [r for r in own if r.units > own[cut - 1].units]
+                assert abs(sum(r.copies - r.times for r in large)) <= 1.001
+            words = sum((r.copies - r.times) * r.units for r in own)
+            assert abs(words) <= own[-1].units
+
+
+def test_mixed_documents_of_odd_tables(documents):
+    assert source_mix.mixed_documents(documents([])).count() == 0
+    docs = documents([(1, None, "en", "a"), (2, " ", "en", None), (3, "x y", None, None)], clashing=True)
+    out = source_mix.mixed_documents(docs)
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {3}
+
+
 def test_no_rows_and_no_words(documents):
     assert source_mix.taken(documents([])).count() == 0
     got = source_mix.taken(documents([(1, None, "en", "a"), (2, " ", "en", None)])).collect()

@@ -115,6 +115,17 @@ def _laid_out(sized: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(rows: DataFrame, count: int) -> DataFrame:
+    """``rows``, each with every ``shard`` below ``count`` and its ``group`` of shards.
+
+    Groups are as many as shards in a group, so no list is longer than their root.
+    """
+    step = max(1, math.isqrt(count))
+    groups = rows.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit((count - 1) // step))))
+    low = F.col("group") * step
+    return groups.repartition("group").withColumn("shard", F.explode(F.sequence(low, F.least(low + step, F.lit(count)) - 1)))
+
+
 def _slots(plan: DataFrame, block_words: int, shard_slots: int, max_epochs: int) -> DataFrame:
     """One row per output slot: ``shard``, ``slot``, ``sid``, ``epoch``, ``block``."""
     blocks = F.ceil(F.col("source_size") / block_words)
@@ -137,7 +148,7 @@ def _slots(plan: DataFrame, block_words: int, shard_slots: int, max_epochs: int)
         )
     )
     cells = settle(
-        plan.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        _numbered(plan, shards)
         .withColumn("room", F.least(F.lit(size), F.lit(total) - F.col("shard") * size))
         .withColumn("expected", expected)
         .withColumn("fixed", F.floor("expected"))
@@ -151,13 +162,18 @@ def _slots(plan: DataFrame, block_words: int, shard_slots: int, max_epochs: int)
         )
         # A draw counts for the source whose stretch of the unit mass it meets.
         .withColumn("count", F.col("fixed") + F.when(F.col("rest") > 0, drawn).otherwise(0))
-        .withColumns(
-            {
-                "slot": F.sum("count").over(in_shard) - F.col("count"),
-                "first": F.sum("count").over(Window.partitionBy("sid").orderBy("shard")) - F.col("count"),
-            }
-        )
-        .select("sid", "blocks", "quota", "shard", "slot", "first", "count"),
+        .withColumn("slot", F.sum("count").over(in_shard) - F.col("count"))
+        .select("sid", "blocks", "quota", "group", "shard", "slot", "count"),
+        "op4-drawn",
+    )
+    # A source's slots are numbered through: in groups of shards, and over the groups.
+    groups = cells.groupBy("sid", "group").agg(F.sum("count").alias("slots"))
+    base = F.sum("slots").over(Window.partitionBy("sid").orderBy("group")) - F.col("slots")
+    within = F.sum("count").over(Window.partitionBy("sid", "group").orderBy("shard")) - F.col("count")
+    cells = settle(
+        cells.withColumn("within", within)
+        .join(groups.select("sid", "group", base.alias("base")), ["sid", "group"])
+        .select("sid", "blocks", "quota", "shard", "slot", (F.col("base") + F.col("within")).alias("first"), "count"),
         "op4-cells",
     )
     # The cells are few and their slots many: deal them out before they are made.
@@ -260,24 +276,68 @@ def taken(docs: DataFrame, weights=WEIGHTS, max_epochs=MAX_EPOCHS, block_words=B
     )
 
 
+def _copies(share: DataFrame, rows_per_part: int = 50_000) -> DataFrame:
+    """``share`` (``source``, ``units`` words, ``times`` each is taken) with whole ``copies``.
+
+    Along each source's rows, by size, the running sum of ``times`` is rounded down
+    after adding the source's own fraction; a row's copies are the steps of that sum.
+    So copies and times differ by less than one over any stretch of rows, and because
+    the sizes only grow along it, a source's words differ from what the mix takes by
+    at most its largest row.  The sums are integers and taken on two levels: in range
+    partitions, then over these.
+    """
+    scale = 1 << 24
+    keys = ["source", "units", "_op4_order", "_op4_id"]
+    parts = max(1, math.ceil(share.count() / rows_per_part))
+    placed = settle(
+        share.withColumns({"_op4_step": F.round(F.col("times") * scale).cast("long"), "_op4_order": F.xxhash64(F.lit(SEED), "_op4_id")})
+        .repartitionByRange(parts, *keys)
+        .withColumn("_op4_part", F.spark_partition_id()),
+        "op4-placed",
+    )
+    totals = placed.groupBy("source", "_op4_part").agg(F.sum("_op4_step").alias("sum"))
+    before = Window.partitionBy("source").orderBy("_op4_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(
+        F.col("source").alias("_op4_s"), F.col("_op4_part").alias("_op4_p"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("_op4_base")
+    )
+    line = Window.partitionBy("source", "_op4_part").orderBy("units", "_op4_order", "_op4_id").rowsBetween(Window.unboundedPreceding, 0)
+    run = F.sum("_op4_step").over(line) + F.col("_op4_base") + F.floor(_uniform(F.xxhash64("source"), F.lit(1)) * scale).cast("long")
+    whole = lambda x: F.floor(x / scale)
+    return (
+        placed.join(bases, F.col("source").eqNullSafe(F.col("_op4_s")) & (F.col("_op4_part") == F.col("_op4_p")))
+        .withColumn("_op4_run", run)
+        .withColumn("copies", (whole(F.col("_op4_run")) - whole(F.col("_op4_run") - F.col("_op4_step"))).cast("int"))
+        .select(*share.columns, "copies")
+    )
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with every row as often as the mix takes its words, as whole documents.
 
-    A row taken t times its size stays floor(t) times, and once more with
-    probability t - floor(t), decided by a hash of its id: whole texts, and each
-    source's words near its target.  Rows without words go.
+    A row taken t times its size stays floor(t) or floor(t) + 1 times (see ``_copies``),
+    and each source's words differ from its target by at most its longest document
+    and one block, however few documents hold them.
+
+    Defined cases: rows without words go (null, empty or blank texts); a null source is
+    a source of its own; rows equal in id, source and size stay equally often, and
+    count as one long document above; an empty table gives an empty result.
     """
-    share = taken(docs).groupBy("doc_id", "source", "size").agg((F.sum("taken") / F.sum("size")).alias("_op4_times"))
-    share = share.withColumnsRenamed({"doc_id": "_op4_id", "source": "_op4_source", "size": "_op4_n"})
+    share = (
+        taken(docs)
+        .where("size > 0")
+        .groupBy("doc_id", "source", "size")
+        .agg((F.sum("taken") / F.sum("size")).alias("times"), F.sum("size").alias("units"))
+        .withColumnsRenamed({"doc_id": "_op4_id", "size": "_op4_n"})
+    )
+    counted = _copies(share).select("_op4_id", F.col("source").alias("_op4_source"), "_op4_n", F.col("copies").alias("_op4_copies"))
     same = (
         F.col("doc_id").eqNullSafe(F.col("_op4_id"))
         & F.col("source").eqNullSafe(F.col("_op4_source"))
         & (F.col("_op4_size") == F.col("_op4_n"))
     )
-    copies = F.floor(F.col("_op4_times") + _uniform(F.col("doc_id"), F.xxhash64("text"))).cast("int")
     return (
         docs.withColumn("_op4_size", words(F.col("text")))
-        .join(share.where("_op4_n > 0"), same)
-        .withColumn("_op4_copy", F.explode(F.array_repeat(F.lit(1), copies)))
+        .join(counted, same)
+        .withColumn("_op4_copy", F.explode(F.array_repeat(F.lit(1), F.col("_op4_copies"))))
         .select(*docs.columns)
     )
