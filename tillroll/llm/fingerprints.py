@@ -84,31 +84,30 @@ def _starts(data: bytes) -> np.ndarray:
 
 
 def _votes(owner: np.ndarray, sums: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """The BITS weighted sums of each of ``n`` texts; ``owner`` is sorted."""
+    """The BITS weighted sums of each of ``n`` texts; ``owner`` is sorted.
+
+    Every bit is a byte of its own, eight of them in a number; up to 255 terms are added
+    before a byte could overflow.
+    """
     out = np.zeros((n, BITS), np.int64)
-    if not len(owner):
-        return out
     for low in range(0, len(owner), 1 << 14):
-        own, part = owner[low : low + (1 << 14)], weight[low : low + (1 << 14), None]
-        bits = np.unpackbits(np.ascontiguousarray(sums[low : low + (1 << 14)].astype(">u8")).view(np.uint8), axis=1)
-        first = np.flatnonzero(np.append(True, np.diff(own) != 0))
-        out[own[first]] += np.add.reduceat((2 * bits.astype(np.int32) - 1) * part, first, axis=0)
+        w = weight[low : low + (1 << 14)]
+        own, part = np.repeat(owner[low : low + (1 << 14)], w), np.repeat(sums[low : low + (1 << 14)], w, axis=0)
+        lanes = np.unpackbits(part.astype(">u8").view(np.uint8), axis=1).view(np.uint64)
+        starts = np.flatnonzero(np.append(True, np.diff(own) != 0))
+        sizes = np.diff(np.append(starts, len(own)))
+        parts = -(-sizes // 255)
+        cuts = np.repeat(starts, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+        ones = np.add.reduceat(lanes, cuts, axis=0).view(np.uint8).astype(np.int64)
+        if len(ones) > len(starts):
+            ones = np.add.reduceat(ones, np.cumsum(parts) - parts, axis=0)
+        out[own[starts]] += 2 * ones - sizes[:, None]
     return out
 
 
 def _weights(times: np.ndarray) -> np.ndarray:
     """The number of binary digits of how often a term occurs."""
-    return np.frexp(times.astype(np.float64))[1].astype(np.int32)
-
-
-def _counted(owner: np.ndarray, *keys: np.ndarray):
-    """Distinct (owner, keys...): a place of each, and how often it occurs."""
-    order = np.lexsort((*keys, owner))
-    fresh = np.append(True, np.diff(owner[order]) != 0)
-    for key in keys:
-        fresh[1:] |= np.diff(key[order]) != 0
-    first = np.flatnonzero(fresh)
-    return order[first], np.diff(np.append(first, len(order)))
+    return np.frexp(times.astype(np.float64))[1]
 
 
 def simhash(texts: list[bytes], terms: Terms) -> list[str]:
@@ -118,15 +117,18 @@ def simhash(texts: list[bytes], terms: Terms) -> list[str]:
     distinct, at, back = np.unique(words, return_index=True, return_inverse=True)
     sums = terms.md5(distinct, data, _starts(data)[at])
     votes = np.zeros((len(texts), BITS), np.int64)
-    if len(words):
-        place, times = _counted(text, back)
-        votes += _votes(text[place], sums[back[place]], _weights(times), len(texts))
+    n = len(distinct)
+    if not n:
+        return [row.tobytes().hex() for row in np.packbits(votes > 0, axis=1)]
+    # PASS_BYTES bound the numbers of texts and words: three of them fit one integer.
+    found, times = np.unique(text * n + back, return_counts=True)
+    votes += _votes(found // n, sums[found % n], _weights(times), len(texts))
     pair = np.flatnonzero(text[:-1] == text[1:])
     if len(pair):
-        left, right = back[pair], back[pair + 1]
-        place, times = _counted(text[pair], left, right)
-        crossed = sums[left[place]] ^ sums[right[place]][:, ::-1]
-        votes += _votes(text[pair][place], crossed, _weights(times), len(texts))
+        found, times = np.unique((text[pair] * n + back[pair]) * n + back[pair + 1], return_counts=True)
+        rest, right = np.divmod(found, n)
+        owner, left = np.divmod(rest, n)
+        votes += _votes(owner, sums[left] ^ sums[right][:, ::-1], _weights(times), len(texts))
     return [row.tobytes().hex() for row in np.packbits(votes > 0, axis=1)]
 
 
@@ -399,4 +401,5 @@ def neighbours(marks: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, cro
     )
     near = met.groupBy("shared", "crowded").applyInArrow(compare, "fingerprint string, near long")
     summed = near.groupBy("fingerprint").agg(F.sum("near").alias("near"))
-    return one.join(summed, "fingerprint", "left").select("fingerprint", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_near"))
+    counted = one.join(summed, "fingerprint", "left").select("fingerprint", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_near"))
+    return settle(counted, "op13-near")  # so that a join with it can be split at a hot fingerprint
