@@ -28,7 +28,7 @@ from tillroll.session import fresh_dir, pinned, shared_root
 from tillroll.sources import landing
 from tillroll.sources.fixture import sales_lines
 from tillroll.sources.tables import table
-from tillroll.streaming import stream
+from tillroll.streaming import closed_weeks, stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -393,6 +393,10 @@ def q_increment_edge_cases(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+# Name of a file that brings lines of many months after their own files.
+LATE_FILE = "sales_late.csv"
+
+
 # --- streaming ------------------------------------------------------------------
 
 def _streamed(spark, sf_dir, upto: str) -> Layout:
@@ -425,6 +429,22 @@ def q_stream_weekly(spark, sf_dir):
     return pipeline.read_gold(spark, layout)["weekly_revenue"]
 
 
+def q_stream_closed_weeks(spark, sf_dir):
+    """Closed weeks after a late file: a seventh of the orders arrives only when the
+    weeks of the others are closed.  Corrected weeks have revision 1."""
+    layout = Layout(fresh_dir(spark, "weeks"))
+    out, ck = f"{layout.base}/closed_weeks", f"{layout.base}/_checkpoints"
+    lines = sales_lines(spark, sf_dir)
+    late = F.coalesce(F.trim("InvoiceNo").try_cast("bigint") % 7 == 0, F.lit(False))
+    arrivals = (lines.where(~late), lines.where(late).withColumn(SOURCE_FILE, F.lit(LATE_FILE)))
+    for arrival in arrivals:
+        landing.write_csv(arrival, layout.landing)
+        stream.run_to_end(stream.start_bronze(spark, layout, f"{ck}/bronze"))
+        stream.run_to_end(stream.start_silver(spark, layout, f"{ck}/silver"))
+        stream.run_to_end(closed_weeks.start_closed_weeks(spark, layout, out, f"{ck}/weeks", "1 day"))
+    return closed_weeks.read_closed_weeks(spark, out)
+
+
 def _utc(query: Query) -> Query:
     """Build a query with the pipeline's settings; the session keeps its own."""
 
@@ -473,5 +493,6 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_weekly": q_stream_weekly,
+    "stream_closed_weeks": q_stream_closed_weeks,
 }
 QUERIES = {key: _utc(query) for key, query in QUERIES.items()}

@@ -257,4 +257,18 @@ ORACLE_SQL = {
     "stream_bronze": _q(_RAW_OUT),
     "stream_silver": _q(_SILVER_OUT),
     "stream_weekly": _q("SELECT * FROM weekly"),
+    # Weeks that ended a day before the last line; revision 1 if a seventh of the orders,
+    # which came late, changed a week that the others had closed.
+    "stream_closed_weeks": _q("""
+        , split AS (
+            SELECT *, CAST(date_trunc('week', InvoiceTimestamp) AS DATE) AS week, CAST(InvoiceNo AS BIGINT) % 7 = 0 AS late
+            FROM silver
+        ), seen AS (
+            SELECT max(InvoiceTimestamp) AS all_seen, max(InvoiceTimestamp) FILTER (WHERE NOT late) AS first_seen FROM split
+        ), w AS (
+            SELECT week, sum(Revenue) AS revenue, sum(Revenue) FILTER (WHERE NOT late) AS first_revenue FROM split GROUP BY week
+        )
+        SELECT week AS WeekStartDate, CAST(round(revenue, 2) AS DOUBLE) AS WeeklyRevenue,
+               CAST(CASE WHEN week + INTERVAL 8 DAY <= first_seen AND revenue <> first_revenue THEN 1 ELSE 0 END AS INTEGER) AS revision
+        FROM w, seen WHERE week + INTERVAL 8 DAY <= all_seen"""),
 }

@@ -3,9 +3,9 @@
 landing (file listing)  -> bronze + bronze ledger
 bronze ledger (Parquet) -> silver + silver ledger
 silver ledger (Parquet) -> weekly revenue, from the per-file totals
-silver (Parquet)        -> weekly revenue of closed weeks (event-time window)
+silver ledger (Parquet) -> weekly revenue of closed weeks, with corrections (``closed_weeks``)
 
-The first three streams carry names of source files, and each micro-batch runs the
+All of them carry names of source files, and each micro-batch runs the
 batch step on them (``foreachBatch``).  So stream and batch share one state, the
 layers and their ledgers: either may go on where the other stopped, and a retried
 micro-batch replaces a file's partition instead of adding to it.  A ledger gets a
@@ -56,7 +56,7 @@ def ledger_stream(spark: SparkSession, ledger_path: str, max_files_per_trigger:
     return _file_stream(spark, max_files_per_trigger).options(**NESTED).schema(LEDGER_SCHEMA).parquet(ledger_path).select("source_file")
 
 
-def _start(df: DataFrame, checkpoint: str, step, trigger: dict | None) -> StreamingQuery:
+def start_steps(df: DataFrame, checkpoint: str, step, trigger: dict | None) -> StreamingQuery:
     """A query that runs ``step`` on each micro-batch of names."""
     return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step).trigger(**(trigger or _DRAIN)).start()
 
@@ -75,7 +75,7 @@ def start_bronze(spark: SparkSession, layout: Layout, checkpoint: str, max_files
 
     with pinned(spark):
         pipeline.init_layout(spark, layout)
-        return _start(landing_stream(spark, layout.landing, max_files_per_trigger), checkpoint, step, trigger)
+        return start_steps(landing_stream(spark, layout.landing, max_files_per_trigger), checkpoint, step, trigger)
 
 
 def start_silver(spark: SparkSession, layout: Layout, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -86,7 +86,7 @@ def start_silver(spark: SparkSession, layout: Layout, checkpoint: str, trigger:
             pipeline.transform_silver(batch.sparkSession, layout)
 
     with pinned(spark):
-        return _start(ledger_stream(spark, layout.bronze_ledger), checkpoint, step, trigger)
+        return start_steps(ledger_stream(spark, layout.bronze_ledger), checkpoint, step, trigger)
 
 
 def start_weekly(spark: SparkSession, layout: Layout, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -103,14 +103,14 @@ def start_weekly(spark: SparkSession, layout: Layout, checkpoint: str, trigger:
             pipeline.publish_gold_table(batch.sparkSession, layout, "weekly_revenue", weekly)
 
     with pinned(spark):
-        return _start(ledger_stream(spark, layout.silver_ledger), checkpoint, step, trigger)
+        return start_steps(ledger_stream(spark, layout.silver_ledger), checkpoint, step, trigger)
 
 
 def silver_stream(spark: SparkSession, silver_path: str) -> DataFrame:
     """Silver rows as their files appear.
 
     A partition that a retried round replaces appears again; sums over this stream
-    count it again, which is why ``start_weekly`` does not use it.
+    count it again, which is why the weekly streams here do not use it.
     """
     return _file_stream(spark).schema(SILVER_SCHEMA).parquet(silver_path).select(*SILVER_COLUMNS)
 
@@ -133,14 +133,6 @@ def weekly_revenue_stream(silver_rows: DataFrame, late_delay: str | None = None)
     )
 
 
-def start_closed_weeks(spark: SparkSession, layout: Layout, out_path: str, checkpoint: str, late_delay: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append each week to ``out_path`` once the watermark has passed its end."""
-    with pinned(spark):
-        out = weekly_revenue_stream(silver_stream(spark, layout.silver), late_delay)
-        writer = out.writeStream.option("checkpointLocation", checkpoint).outputMode("append").format("parquet")
-        return writer.trigger(**(trigger or _DRAIN)).start(out_path)
-
-
 def run_to_end(query: StreamingQuery, timeout_s: int | None = None) -> None:
     """Wait for an ``availableNow`` query to drain its input; re-raise failures.
 
