@@ -88,6 +88,11 @@ _ESCAPED = re.compile(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 _GLOB = re.compile(r"([,}])")
 
 
+def partition_path(path: str, name: str) -> str:
+    """The partition folder of one source file."""
+    return f"{path}/{SOURCE_FILE}={_ESCAPED.sub(lambda m: f'%{ord(m[0]):02X}', name)}"
+
+
 def partition_glob(path: str, names: list[str]) -> str:
     """One glob that matches the partition folders of the named source files."""
     folders = [_GLOB.sub(r"\\\1", _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", n)) for n in names]

@@ -254,6 +254,17 @@ ORACLE_SQL = {
         UNION ALL SELECT 'gold_top_5_products_by_revenue', CAST(count(*) AS BIGINT) FROM top_products
         UNION ALL SELECT 'gold_top_5_customers_by_revenue', CAST(count(*) AS BIGINT) FROM top_customers
         UNION ALL SELECT 'gold_revenue_by_country', CAST(count(*) AS BIGINT) FROM countries"""),
+    # The first month has lost the lines of even orders.
+    "changed_files": _q("""
+        SELECT min(_source_file) AS source_file,
+               CAST(count(*) - count(*) FILTER (WHERE TRY_CAST(replace(trim(InvoiceNo), 'C', '') AS BIGINT) % 2 = 0) AS BIGINT) AS landing_rows,
+               CAST(count(*) AS BIGINT) AS bronze_rows
+        FROM raw WHERE _source_file = (SELECT min(_source_file) FROM months)"""),
+    "reload_changed": _q("SELECT * FROM gold_long").replace(
+        "FROM checked WHERE reject_reason IS NULL",
+        "FROM checked WHERE reject_reason IS NULL AND NOT (CAST(InvoiceNo AS BIGINT) % 2 = 0"
+        " AND _source_file = (SELECT min(_source_file) FROM raw))",
+    ),
     "stream_bronze": _q(_RAW_OUT),
     "stream_silver": _q(_SILVER_OUT),
     "stream_weekly": _q("SELECT * FROM weekly"),
