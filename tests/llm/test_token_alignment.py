@@ -82,6 +82,15 @@ def test_groups_are_the_ids(documents, sides):
         assert ";".join(f"{','.join(map(str, g.a))}|{','.join(map(str, g.b))}" for g in r.groups) == groups
 
 
+def test_both_libraries_give_the_same_ids(sides):
+    """The ranks' encoder next to the file's own library, on words and on random strings."""
+    rng = random.Random(9)
+    texts = TEXTS + [r[1] for r in odd_rows() if r[1]] + [" " * 100_000, "x" * 30_000, "\n" * 5000 + "a"]
+    letters = [*"abcdefghijklmnopqrstuvwxyz  ABCéü'0123.,!\n\t", "漢", "😀", "\u0301", "\x85", "\u200b"]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(1, 30))) for _ in range(20_000)]
+    assert sides[0].encode(texts) == align.library_encoder(align.BYTE_MODEL)(texts)
+
+
 def test_parts_change_nothing(sides):
     """A text cut at every safe blank has the tokens of the whole."""
     rng = random.Random(5)
@@ -99,7 +108,7 @@ def test_windows_are_walked_once(sides):
     text = " ".join(["every word again"] * 300)
     aligner, small = align.Aligner(*sides), align.Aligner(*sides, memo_windows=2)
     assert list(aligner.align([text, text])) == list(small.align([text, text]))
-    assert aligner.walked < 10 < small.walked
+    assert aligner.walked < 10 and len(small.memo) <= 10
 
 
 def test_a_hot_text_and_a_long_one(documents, sides):

@@ -21,9 +21,9 @@ broadcast; the rest, the long tail, is joined by a shuffle in which no key is ho
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from array import array
 from itertools import chain
 
 import numpy as np
@@ -62,21 +62,48 @@ class Side:
 
     def __init__(self, tokens: list[bytes], encode):
         self.tokens, self.encode = tokens, encode
-        self.lengths = [len(t) for t in tokens]
-        self.sizes = np.array(self.lengths, np.int64)
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
         self.marked = np.array([t[:1] == b" " for t in tokens])
 
 
+# --- fixed value: how byte-level BPE splits a text before it merges -----------
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# -----------------------------------------------------------------------------
+
+
 def byte_side(path: str) -> Side:
-    """Tokenizer A: encodes a blank and the text; special tokens' strings are plain text."""
+    """Tokenizer A: encodes a blank and the text; special tokens' strings are plain text.
+
+    Where the file's merges are in the order of their ids, as in the public files, the
+    ids are the ranks that the faster of the two libraries needs; it gives the same ids.
+    """
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    signs, vocabulary = byte_of_sign(), file["model"]["vocab"]
+    merges = [m if isinstance(m, str) else "".join(m) for m in file["model"]["merges"]]
+    of_bytes = {i: bytes(signs[c] for c in token) for token, i in vocabulary.items() if all(c in signs for c in token)}
+    tokens = [of_bytes.get(i, b"") for i in range(max(vocabulary.values()) + 1)]
+    ranked = all(vocabulary.get(m.replace(" ", "")) == 256 + i for i, m in enumerate(merges)) and len(of_bytes) == 256 + len(merges)
+    if ranked and not file.get("normalizer") and file["pre_tokenizer"] == _SPLITTER:
+        import tiktoken
+
+        ranks = {token: i for i, token in of_bytes.items()}
+        encoder = tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        return Side(tokens, lambda texts: [encoder.encode_ordinary(" " + t) for t in texts])
+    return Side(tokens, library_encoder(path))
+
+
+_SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+
+def library_encoder(path: str):
+    """Encodes a blank and each text by the library that the file is written for."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer, signs = Tokenizer.from_file(path), byte_of_sign()
+    tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
-    tokens = [bytes(signs[c] for c in name) if all(c in signs for c in name) else name.encode() for name in names]
-    return Side(tokens, lambda texts: [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
+    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 def piece_side(path: str) -> Side:
@@ -113,32 +140,33 @@ class Aligner:
         cuttable = not any(_SAFE.search(t.decode("utf-8", "ignore")) for side in (a, b) for t in side.tokens)
         self.part_chars = part_chars if cuttable else 1 << 62
         self.walked = 0
+        # Every id as it is written inside a group and at its end.
+        self.words = [f"{i}{mark}" for side, last in ((a, "|"), (b, ";")) for i in range(len(side.tokens)) for mark in (",", last)]
 
-    def window(self, a: list[int], b: list[int]) -> tuple[str, bytes, int]:
-        """Groups as text, linked pairs as packed numbers, and the number of groups."""
-        self.walked += 1
-        sizes_a, sizes_b, width = self.a.lengths, self.b.lengths, len(self.b.tokens)
-        i = j = first_a = first_b = 0
-        end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
-        pairs, groups = array("q"), []
-        while True:
-            pairs.append(a[i] * width + b[j])
-            if end_a == end_b:
-                i += 1
-                j += 1
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                if i == len(a):
-                    break
-                first_a, first_b = i, j
-                end_a += sizes_a[a[i]]
-                end_b += sizes_b[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += sizes_a[a[i]]
-            else:
-                j += 1
-                end_b += sizes_b[b[j]]
-        return ";".join(groups), pairs.tobytes(), len(groups)
+    def _walk(self, a: np.ndarray, b: np.ndarray, high_a: np.ndarray, high_b: np.ndarray) -> list[tuple[str, bytes, int]]:
+        """Windows laid end to end, the k-th up to ``high_a[k]``, ``high_b[k]``: of each its
+        groups as text (each closed by ;), its linked pairs as packed numbers, its number of groups.
+
+        The windows cover the same bytes on both sides, so one pass over all ends does.
+        """
+        self.walked += len(high_a)
+        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        closed = ends_a[high_a - 1]  # where the windows end
+        every, shared = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # Between two ends of either side lies one token of each: a link.
+        pairs = a[np.searchsorted(ends_a, every)].astype(np.int64) * len(self.b.tokens) + b[np.searchsorted(ends_b, every)]
+        links = np.append(0, np.searchsorted(every, closed) + 1).tolist()
+        groups = np.append(0, np.searchsorted(shared, closed) + 1)
+        # The tokens as they are written: group by group, A before B, the last of a group marked.
+        in_a, in_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        order = np.argsort(np.concatenate([2 * in_a, 2 * in_b + 1]), kind="stable")
+        codes = np.concatenate([2 * a + (shared[in_a] == ends_a), 2 * (b + len(self.a.tokens)) + (shared[in_b] == ends_b)])[order].tolist()
+        words, packed, high, low, out = self.words, pairs.tobytes(), (high_a + high_b).tolist(), 0, []
+        for k, n in enumerate(np.diff(groups).tolist()):
+            text = "".join([words[c] for c in codes[low : high[k]]])
+            out.append((text, packed[8 * links[k] : 8 * links[k + 1]], n))
+            low = high[k]
+        return out
 
     def _tokens(self, texts: list[str]) -> tuple[list, list]:
         """Ids of each text by A and B; none where the bytes are not those of blank and text."""
@@ -163,19 +191,29 @@ class Aligner:
         mark_a, mark_b = np.append(self.a.marked[a], True), np.append(self.b.marked[b], True)
         cut = np.flatnonzero(mark_a[to_a] & mark_b[to_b])
         to_a, to_b = to_a[cut], to_b[cut]
-        packed_a, packed_b, memo, out = a.tobytes(), b.tobytes(), self.memo, []
+        packed_a, packed_b, memo = a.tobytes(), b.tobytes(), self.memo
+        out, new, at = [], {}, []
         low_a = low_b = 0
         for high_a, high_b in zip((to_a * 4).tolist(), (to_b * 4).tolist()):
             key = (packed_a[low_a:high_a], packed_b[low_b:high_b])
             found = memo.get(key)
             if found is None:
-                found = self.window(a[low_a // 4 : high_a // 4].tolist(), b[low_b // 4 : high_b // 4].tolist())
-                if high_a - low_a <= 4 * MEMO_TOKENS and high_b - low_b <= 4 * MEMO_TOKENS:
-                    if len(memo) >= self.memo_windows:
-                        memo.clear()
-                    memo[key] = found
+                found = new.setdefault(key, len(new))  # its number among those to walk
+                if found == len(at):
+                    at.append((low_a // 4, high_a // 4, low_b // 4, high_b // 4))
             out.append(found)
             low_a, low_b = high_a, high_b
+        if new:
+            where = np.array(at)
+            walked = self._walk(
+                np.concatenate([a[i:j] for i, j, _, _ in at]), np.concatenate([b[i:j] for _, _, i, j in at]),
+                np.cumsum(where[:, 1] - where[:, 0]), np.cumsum(where[:, 3] - where[:, 2]),
+            )
+            out = [walked[x] if type(x) is int else x for x in out]
+            if len(memo) + len(new) > self.memo_windows:
+                memo.clear()
+            short = 4 * MEMO_TOKENS
+            memo.update((key, w) for key, w in zip(new, walked) if len(key[0]) <= short and len(key[1]) <= short)
         return out, to_a
 
     def align(self, texts: list[str]):
@@ -190,7 +228,7 @@ class Aligner:
         for own_a, own_b, high in zip(ids_a, ids_b, cuts.tolist()):
             own = found[low:high]
             low = high
-            yield len(own_a), len(own_b), sum(w[2] for w in own), ";".join([w[0] for w in own]), b"".join([w[1] for w in own])
+            yield len(own_a), len(own_b), sum([w[2] for w in own]), "".join([w[0] for w in own])[:-1], b"".join([w[1] for w in own])
 
 
 def _passes(column: pa.Array):
@@ -214,6 +252,7 @@ def _aligned(docs: DataFrame, byte_model: str, piece_model: str, as_groups: bool
 
     def run(batches):
         aligner = Aligner(byte_side(byte_model), piece_side(piece_model))
+        span = len(aligner.a.tokens) * len(aligner.b.tokens)
         for batch in batches:
             for low, high in _passes(batch["text"]):
                 texts = [t or "" for t in batch["text"].slice(low, high - low).to_pylist()]
@@ -224,12 +263,10 @@ def _aligned(docs: DataFrame, byte_model: str, piece_model: str, as_groups: bool
                     packed.append(links)
                 pairs = np.frombuffer(b"".join(packed), np.int64)
                 text = np.repeat(np.arange(len(texts)), [c[3] for c in counts])
-                order = np.lexsort((pairs, text))
-                pairs, text = pairs[order], text[order]
-                first = np.flatnonzero(np.append(True, (np.diff(pairs) != 0) | (np.diff(text) != 0))[: len(pairs)])
-                times = np.diff(np.append(first, len(pairs)))
-                offsets = np.append(0, np.cumsum(np.bincount(text[first], minlength=len(texts)))).astype(np.int32)
-                links = pa.StructArray.from_arrays([pa.array(pairs[first]), pa.array(times.astype(np.int32))], names=["pair", "n"])
+                # A text's pairs and how often each is linked; text and pair fit one integer.
+                found, times = np.unique(text * span + pairs, return_counts=True)
+                offsets = np.append(0, np.cumsum(np.bincount(found // span, minlength=len(texts)))).astype(np.int32)
+                links = pa.StructArray.from_arrays([pa.array(found % span), pa.array(times.astype(np.int32))], names=["pair", "n"])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(low, high - low),
