@@ -49,6 +49,17 @@ def test_dense_and_sparse_terms_agree():
     assert (topk_search.scores(list(q), list(c)) == q @ c.T).all()
 
 
+def test_products_that_no_long_can_hold(spark):
+    rows = [(0, [2**61, 2**61]), (1, [2**61, 1])]
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.search(vectors(spark, rows), F.col("vec_id") % 20 == 0).collect()
+    df = spark.createDataFrame([(1, [1e30])], "vec_id long, v array<float>")
+    with pytest.raises(Exception, match="too great"):
+        df.select(topk_search.integer_weights(F.col("v"))).collect()
+    many = np.random.default_rng(1).integers(-9, 9, (3, 1300))
+    assert (topk_search.scores(list(many[:, :20]), list(many.T[:, :3])) == many[:, :20][:, :3] @ many.T[:, :3].T).all()
+
+
 def test_integer_weights(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [0.5, -0.01, 0.0]), (2, [nan]), (3, [inf]), (4, [None, 1.0]), (5, None), (6, [])]

@@ -122,7 +122,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; of repeated rows one stays."""
+    """The rows of ``docs`` that stay, all columns.
+
+    Defined cases: of null, empty and blank texts together one row stays (the longest,
+    then the smallest id); of rows equal in id and text one stays, whatever their other
+    columns; an empty table gives an empty result.
+    """
     kept = _decide(docs).where("kept").select(
         F.col("doc_id").alias("_op8_id"), F.col("text_sha256").alias("_op8_s"), F.col("points").alias("_op8_p")
     )

@@ -242,5 +242,10 @@ def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a predicted language, all columns; ``und`` goes."""
+    """The rows of ``docs`` with a predicted language, all columns; ``und`` goes.
+
+    Defined cases: rows without a letter (null, empty or blank texts among them) go, and
+    all rows if no language can be learned; repeated rows and null ids are rows like
+    others; an empty table gives an empty result.
+    """
     return _annotated(docs, train(docs)).where(F.col("_op7_lang") != "und").select(*docs.columns)

@@ -530,7 +530,8 @@ def decode(rows: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """``rows`` with ``text``, decoded from ``ids``: the exact inverse of ``encode``.
 
     Null or empty ids give an empty text.  All columns of ``rows`` but ``ids`` and
-    any earlier ``text`` are kept.
+    any earlier ``text`` are kept; repeated rows and null ids are rows like others; an
+    empty table gives an empty result.  What U+2581 was comes back as a blank.
     """
     vocabulary = Vocabulary.load(model_file)
     kept = [c for c in rows.columns if c not in ("ids", "text")]

@@ -248,7 +248,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs=MAX_EPOCHS, block_words=BLO
 
     Returns ``shard``, ``slot``, ``epoch``, ``source``, ``block``, ``doc_id``,
     ``first_word`` (from 0) and ``n_words``; a slot holds one block, a block one
-    or more pieces of documents.
+    or more pieces of documents.  The defined cases are those of ``taken``: rows
+    without words are in no slot; an empty table, or one without words, has none.
     """
     laid, plan = _prepared(docs, weights, max_epochs)
     return _pieces(laid, plan, block_words, shard_slots, max_epochs).select(

@@ -4,8 +4,9 @@ Vectors are sparse rows of integer weights (terms are positions).  Queries and
 candidates are dealt into blocks; every block pair is one task's work.  There the
 candidates become postings, term by term, and each term of the query rows
 scatters its weighted postings into a dense array of scores, one row per query.
-Terms that most candidates hold are accumulated as one matrix product.  Each block
-pair keeps its k best per query, and the partial lists are merged per query.
+A term that most candidates hold has postings for all of them, zeros included, which
+are added without looking up places.  Each block pair keeps its k best per query, and
+the partial lists are merged per query.
 """
 
 from __future__ import annotations
@@ -24,14 +25,25 @@ K = 20
 SCALE = 64
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
-# A term is accumulated densely if at least this share of the block holds it.
-DENSE = 0.125
+# Candidates whose scores are accumulated at a time; keeps them in cache.
+STRIP = 512
+# A term has postings for all candidates of a strip if at least this share holds it.
+DENSE = 0.25
 
 
 def integer_weights(vector: Column) -> Column:
-    """floor(SCALE * x) of each component; null unless all are finite numbers."""
+    """floor(SCALE * x) of each component; null unless all are finite numbers.
+
+    A component too great for a long is an error.
+    """
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE)))
+
+    def weight(x: Column) -> Column:
+        scaled = x.cast("double") * SCALE
+        too_great = F.raise_error(F.lit("a component is too great for an integer weight")).cast("long")
+        return F.when(F.abs(scaled) >= 2.0**63, too_great).otherwise(F.floor(scaled))
+
+    return F.when(vector.isNotNull() & ~F.coalesce(bad, F.lit(True)), F.transform(vector, weight))
 
 
 def _postings(rows: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -47,26 +59,32 @@ def _postings(rows: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]
 
 
 def scores(queries: list[np.ndarray], candidates: list[np.ndarray]) -> np.ndarray:
-    """Integer inner products, queries by candidates."""
+    """Integer inner products, queries by candidates; OverflowError if they could exceed a long."""
     left, right = _postings(queries), _postings(candidates)
     terms = sorted(left.keys() & right.keys())
-    shape = (len(queries), len(candidates))
-    most = sum(float(np.abs(left[t][1]).max()) * float(np.abs(right[t][1]).max()) for t in terms)
+    most = sum(float(np.abs(left[t][1].astype(float)).max()) * float(np.abs(right[t][1].astype(float)).max()) for t in terms)
+    if most >= 2**63:
+        raise OverflowError("inner products of these weights can exceed 64 bits")
     exact = np.float64 if most < 2**53 else np.int64
-    out = np.zeros(shape, exact)
-    dense = [t for t in terms if exact is np.float64 and len(right[t][0]) >= DENSE * shape[1]]
-    for at in range(0, len(dense), 64):
-        part = dense[at : at + 64]
-        q, c = np.zeros((shape[0], len(part))), np.zeros((len(part), shape[1]))
-        for i, t in enumerate(part):
-            q[left[t][0], i] = left[t][1]
-            c[i, right[t][0]] = right[t][1]
-        out += q @ c
-    taken = set(dense)
-    for t in terms:
-        if t not in taken:
+    out = np.zeros((len(queries), len(candidates)), exact)
+    whole = {t: len(left[t][0]) == len(queries) for t in terms}
+    for low in range(0, len(candidates), STRIP):
+        strip = out[:, low : low + STRIP]
+        for t in terms:
             (rows, weights), (columns, posted) = left[t], right[t]
-            out[np.ix_(rows, columns)] += weights[:, None] * posted.astype(exact)
+            first, last = np.searchsorted(columns, [low, low + strip.shape[1]])
+            at, posted = columns[first:last] - low, posted[first:last].astype(exact)
+            weights = weights.astype(exact)[:, None]
+            if len(at) < DENSE * strip.shape[1]:
+                if len(at):
+                    strip[np.ix_(rows, at)] += weights * posted
+                continue
+            line = np.zeros(strip.shape[1], exact)
+            line[at] = posted
+            if whole[t]:
+                strip += weights * line
+            else:
+                strip[rows] += weights * line
     return out
 
 
