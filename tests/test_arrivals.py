@@ -25,7 +25,7 @@ def joins(monkeypatch):
     return calls
 
 
-@pytest.mark.parametrize("key", ["increment_edge_cases", "changed_files"])
+@pytest.mark.parametrize("key", ["increment_edge_cases", "changed_files", "monthly_split"])
 def test_lines_are_joined_once(spark, joins, key):
     catalog.QUERIES[key](spark, SF)
     assert len(joins) == 1
