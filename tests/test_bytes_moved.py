@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import glob
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tillroll.functions.naming import plain_path
+from tillroll.functions.parsing import parse_exact_price, parse_price, revenue
 from tillroll.operators import bronze as layers
 from tillroll.operators import silver
 from tillroll.schemas import SOURCE_FILE
@@ -74,3 +76,26 @@ def test_plain_path_with_and_without_escapes(spark):
     rows = [("file:/a/b%20c/x+y.csv",), ("file:/a/x+y.csv",), (None,), ("a%25",)]
     got = [r[0] for r in spark.createDataFrame(rows, "u string").select(plain_path("u")).collect()]
     assert got == ["file:/a/b c/x+y.csv", "file:/a/x+y.csv", None, "a%"]
+
+
+def test_what_an_order_decides_is_worked_out_per_order(spark):
+    """Dates are rendered before the lines are joined, and the orders are joined last."""
+    p = plan(sales_lines(spark, SF))
+    rendered = [line for line in p.splitlines() if "date_format" in line]
+    assert rendered and not any("l_orderkey" in line for line in rendered)
+
+
+def test_timestamps_of_the_layers_are_longs(spark, workdir):
+    rows = sales_lines(spark, SF).limit(3).withColumn("_corrupt", F.lit(None).cast("string"))
+    layers.write_layer(layers.to_bronze(rows), f"{workdir}/bronze")
+    schema = pq.ParquetFile(_files(f"{workdir}/bronze", "parquet")[0]).schema
+    assert schema.column(schema.names.index("_ingested_at_utc")).physical_type == "INT64"
+
+
+def test_prices_of_whole_cents_take_the_short_product(spark):
+    rows = [("12.34", 3), ("0.5", 7), (" 1E1 ", 2), ("9999999999.99", 2147483647), ("10000000000.00", 2), ("0.125", 2), ("-1.25", 4), ("1e25", 1)]
+    raw = spark.createDataFrame(rows, "p string, q int").select("q", parse_price("p").alias("p"), parse_exact_price("p").alias("e"))
+    got = raw.select(revenue("q", "p", "e").alias("r"))
+    want = ["37.02", "3.50", "20.00", "21474836469978525163.53", "20000000000.00", "0.25", "-5.00", "10000000000000000000000000.00"]
+    assert [str(r[0]) for r in got.collect()] == want
+    assert "decimal(12,2)" in plan(got)
