@@ -122,3 +122,15 @@ def test_a_hot_text_and_a_long_one(documents, sides):
 def test_empty_table(documents):
     assert align.link_counts(documents([])).count() == 0
     assert align.link_counts(documents([(1, None), (2, "")])).select("n_links", "groups_sha256").collect() == [(0, ""), (0, "")]
+
+
+def test_stretches_are_encoded_once(sides):
+    """Stretches between blanks come from the memo; whole texts give the same."""
+    texts = ["the cat saw the cat", "", "the  cat,\tsaw (the) cat ", " the cat's \u00a8 cat", "a\u2581b cat", "caf\u00e9 \u00e9t\u00e9 \u4f60 \u597d 's 12 3", "\ufb01 cat", "x\u3000 y \u200b z", "x\x1c y"]
+    aligner, whole = align.Aligner(*sides), align.Aligner(*sides)
+    whole.by_stretch = False
+    assert aligner.by_stretch
+    assert list(aligner.align(texts)) == list(whole.align(texts))
+    before = aligner.encoded
+    list(aligner.align(["cat the saw cat the"] * 3))
+    assert aligner.encoded == before

@@ -7,6 +7,9 @@ the text (to which it adds the blank itself).
   and text in both.  Where a token of A and one of B end at the same byte and the next
   tokens of both begin with a blank, the document is cut into windows: a word with
   what hangs on it.  The cuts are found in both offset tables, not assumed.
+* No token of either tokenizer reaches over a single blank between two other characters
+  (checked in their vocabularies), so a text is cut there, and a stretch that was met
+  before is not encoded again: its alignment is kept.
 * A window is two tuples of ids, and its alignment depends on nothing else.  It is
   walked once and kept by those tuples; the same words come back all the time.
 * Inside a window, groups end where both tokenizations end, and a pair of tokens is
@@ -42,12 +45,20 @@ HOT_PAIRS = 50_000
 # Windows that a task keeps, and the longest of these in tokens of A and B.
 MEMO_WINDOWS = 100_000
 MEMO_TOKENS = 24
+# Stretches of text between blanks that a task keeps, and the longest of these in characters.
+MEMO_STRETCHES = 200_000
+MEMO_CHARS = 48
+# Stretches that are encoded one by one if one of them has no tokens.
+FEW_STRETCHES = 32
 # Characters of text that are encoded in one pass; longest part of a text that is encoded at once.
 PASS_CHARS = 1 << 18
 PART_CHARS = 1 << 16
 
 # A blank between letters or digits: no token of either kind reaches over it.
 _SAFE = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
+# A blank between two characters that are none, and a token that would reach over one.
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_OVER = re.compile(r"\S ")
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -139,7 +150,9 @@ class Aligner:
         # Parts are cut only if no token reaches over a blank between letters or digits.
         cuttable = not any(_SAFE.search(t.decode("utf-8", "ignore")) for side in (a, b) for t in side.tokens)
         self.part_chars = part_chars if cuttable else 1 << 62
-        self.walked = 0
+        self.by_stretch = not any(_OVER.search(t.decode("utf-8", "ignore")) for side in (a, b) for t in side.tokens)
+        self.stretches: dict[str, tuple[int, int, int, str, bytes]] = {}
+        self.walked = self.encoded = 0
         # Every id as it is written inside a group and at its end.
         self.words = [f"{i}{mark}" for side, last in ((a, "|"), (b, ";")) for i in range(len(side.tokens)) for mark in (",", last)]
 
@@ -218,6 +231,51 @@ class Aligner:
 
     def align(self, texts: list[str]):
         """For each text: tokens of A and B, groups, groups as text, packed links."""
+        known = self.stretches
+        if len(known) > MEMO_STRETCHES:
+            known.clear()
+        cut = [_BETWEEN.split(t) if self.by_stretch else [t] for t in texts]
+        new = list(dict.fromkeys(s for own in cut for s in own if s not in known))
+        self.encoded += len(new)
+        plain = [s for s in new if s and not (s[0].isspace() or s[-1].isspace())] if self.by_stretch else []
+        self._learn(plain)
+        edges = [s for s in new if s not in known]
+        known.update(zip(edges, self._stretches(edges)))
+        for own in cut:
+            n_a, n_b, n_groups, text, links = zip(*map(known.__getitem__, own))
+            if 0 in n_a:  # a stretch without tokens: nor has the text any
+                yield 0, 0, 0, "", b""
+            else:
+                yield sum(n_a), sum(n_b), sum(n_groups), "".join(text)[:-1], b"".join(links)
+        for s in new:
+            if len(s) > MEMO_CHARS:
+                del known[s]
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new stretches as one text, blanks between them, and walk each as a window.
+
+        Stretches without tokens spoil the text they are in: it is halved until they are
+        among a few, which are left to ``_stretches``.
+        """
+        if not new:
+            return
+        (ids_a,), (ids_b,) = self._tokens([" ".join(new)])
+        if not ids_a:
+            if len(new) > FEW_STRETCHES:
+                self._learn(new[: len(new) // 2])
+                self._learn(new[len(new) // 2 :])
+            return
+        a, b = np.array(ids_a, np.int32), np.array(ids_b, np.int32)
+        ends = np.cumsum([len(s.encode()) + 1 for s in new])
+        # The blanks of the tokenizers: no token reaches over the end of a stretch.
+        high_a = np.searchsorted(np.cumsum(self.a.sizes[a]), ends) + 1
+        high_b = np.searchsorted(np.cumsum(self.b.sizes[b]), ends) + 1
+        counts = zip(np.diff(high_a, prepend=0).tolist(), np.diff(high_b, prepend=0).tolist())
+        walked = self._walk(a, b, high_a, high_b)
+        self.stretches.update((s, (n_a, n_b, n, text, links)) for s, (n_a, n_b), (text, links, n) in zip(new, counts, walked))
+
+    def _stretches(self, texts: list[str]):
+        """As ``align``, of texts that are taken whole; every group is closed by ;."""
         ids_a, ids_b = self._tokens(texts)
         a = np.fromiter(chain.from_iterable(ids_a), np.int32)
         b = np.fromiter(chain.from_iterable(ids_b), np.int32)
@@ -228,7 +286,7 @@ class Aligner:
         for own_a, own_b, high in zip(ids_a, ids_b, cuts.tolist()):
             own = found[low:high]
             low = high
-            yield len(own_a), len(own_b), sum([w[2] for w in own]), "".join([w[0] for w in own])[:-1], b"".join([w[1] for w in own])
+            yield len(own_a), len(own_b), sum([w[2] for w in own]), "".join([w[0] for w in own]), b"".join([w[1] for w in own])
 
 
 def _passes(column: pa.Array):
